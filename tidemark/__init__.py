@@ -1 +1,8 @@
 """Spark-first provenance, freshness and corpus-quality analytics."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers carry their code, so the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
