@@ -3,11 +3,31 @@
 from __future__ import annotations
 
 from ..session import table
-from . import packing, tokens
+from . import names, packing, survivor, tokens
 
 QUERIES = {
+    "p3_found": lambda s, d: names.found(*(table(s, d, t) for t in ("rules", "org_aliases", "source_registry"))),
+    "p5_found": lambda s, d: survivor.found(table(s, d, "rules")),
+    "p5_golden": lambda s, d: survivor.golden(table(s, d, "rules")),
     "p8_ids": lambda s, d: tokens.encode(table(s, d, "documents")),
     "p9_containers": lambda s, d: packing.pack_documents(table(s, d, "documents")),
 }
 
-ORACLES: dict[str, str] = {}
+_SPACE = "' ' || " + " || ".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 133, 160))
+_P5 = rf"""
+keyed AS (
+  SELECT *, coalesce(nullif(rule_key, ''), 'rk_' || left(sha256(lower(trim(coalesce(name, ''), {_SPACE})) || '|' || lower(trim(coalesce(if_condition, ''), {_SPACE}))), 20)) AS k,
+    coalesce(regexp_full_match(source_url, '(?is)https?://[a-z0-9\-]+(\.[a-z0-9\-]+)+(:[0-9]+)?([/?#][^\s<>"]*)?'), false) AS url_ok,
+    coalesce(regexp_full_match(confidence_score, '[0-9]+(\.[0-9]+)?') AND try_cast(confidence_score AS DOUBLE) <= 1, false) AS conf_ok,
+    coalesce(last_verified >= created_at AND (last_verified::TIMESTAMPTZ AT TIME ZONE 'UTC') <= TIMESTAMP '2026-01-01 00:00:00', false) AS seen_ok,
+    len(rtrim(source_url, '/')) - len(replace(rtrim(source_url, '/'), '/', '')) AS slashes
+  FROM rules
+)"""
+
+ORACLES: dict[str, str] = {
+    "p5_found": f"""WITH {_P5}
+SELECT k AS rule_key, first(id ORDER BY slashes DESC, id) FILTER (url_ok) AS url_id,
+  first(id ORDER BY (coalesce(provenance_status, '') = 'verified_excerpt') DESC, extracted_at DESC NULLS LAST, id) FILTER (conf_ok) AS score_id,
+  first(id ORDER BY last_verified DESC, id) FILTER (seen_ok) AS verified_id
+FROM keyed GROUP BY k HAVING count(*) >= 2""",
+}
