@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from ..session import table
-from . import names, packing, survivor, tokens
+from . import names, neighbors, packing, survivor, tokens
 
 QUERIES = {
     "p3_found": lambda s, d: names.found(*(table(s, d, t) for t in ("rules", "org_aliases", "source_registry"))),
     "p5_found": lambda s, d: survivor.found(table(s, d, "rules")),
     "p5_golden": lambda s, d: survivor.golden(table(s, d, "rules")),
+    "p6_found": lambda s, d: neighbors.found(table(s, d, "rules")),
     "p8_ids": lambda s, d: tokens.encode(table(s, d, "documents")),
     "p9_containers": lambda s, d: packing.pack_documents(table(s, d, "documents")),
 }
