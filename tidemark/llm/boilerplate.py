@@ -36,12 +36,15 @@ CONSTANT, PRIOR = 0.07, 4.0
 TITLE, HEAD = 0.02, 0.15
 #: Share of its host's pages below which a template's own last line is no evidence for itself.
 RARE = 0.02
+LONG = 200
 
 _NUMBER = re.compile(r"\w*\d+(?:[./:\-]\d+)*\w*")
 _SPACES = re.compile(r"\s+")
 _SEPARATED = re.compile(r" *(?:[|·•›»>/]|  ) +")
 _WORD = re.compile(r"[a-z0-9]{4,}")
 _NAMES = re.compile(r"@(?:[ &]+@)*")
+# Separators that set off parts even where there is only one.
+_STRONG = {"|", "·", "•", "›", "»"}
 _COUNTED = re.compile(r"\s*\(#\)$")
 
 
@@ -59,9 +62,12 @@ def site_core(site: str) -> str:
 
 def node(line: str, core: str = "") -> tuple[str, str, bool]:
     """(label, frame or '', counted): the frame is what stays the same in a line whose parts or names vary. Words of
-    the site's own name (core) become one mark, so that equal parts of different sites have equal labels."""
+    the site's own name (core) become one mark, so that equal parts of different sites have equal labels. A line beyond
+    LONG characters is its own label but for its case."""
+    if len(line) > LONG:
+        return line.strip().lower(), "", False
     s = _label(line)
-    if core and len(s) <= 160:
+    if core:
         s = _NAMES.sub("@", _WORD.sub(lambda m: "@" if m[0] in core else m[0], s))
     counted = bool(_COUNTED.search(s))
     if counted:
@@ -70,7 +76,7 @@ def node(line: str, core: str = "") -> tuple[str, str, bool]:
     if len(s) <= 120:
         marks = _SEPARATED.findall(s)
         at = s.find("#")
-        if len(marks) >= 2 and len(set(m.strip() for m in marks)) == 1:
+        if marks and len(set(m.strip() for m in marks)) == 1 and (len(marks) >= 2 or marks[0].strip() in _STRONG):
             frame = "parts " + marks[0].strip()
         elif 0 < at <= 40 and s.count("#") >= 2 and sum(c.isalpha() for c in s[at:]) <= 16:
             frame = "slots " + s[at:]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from ..session import table
-from . import boilerplate, names, neighbors, packing, survivor, tokens
+from . import boilerplate, language, names, neighbors, packing, survivor, tokens
 
 QUERIES = {
     "p2_found": lambda s, d: boilerplate.found(table(s, d, "changed_urls")),
     "p3_found": lambda s, d: names.found(*(table(s, d, t) for t in ("rules", "org_aliases", "source_registry"))),
+    "p4_found": lambda s, d: language.found(*(table(s, d, t) for t in ("changed_urls", "rules", "documents"))),
     "p5_found": lambda s, d: survivor.found(table(s, d, "rules")),
     "p5_golden": lambda s, d: survivor.golden(table(s, d, "rules")),
     "p6_found": lambda s, d: neighbors.found(table(s, d, "rules")),
