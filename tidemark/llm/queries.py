@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import table
-from . import boilerplate, language, names, neighbors, packing, survivor, tokens
+from . import boilerplate, language, names, neighbors, packing, reading, survivor, tokens
 
 QUERIES = {
     "p2_found": lambda s, d: boilerplate.found(table(s, d, "changed_urls")),
@@ -14,6 +14,7 @@ QUERIES = {
     "p6_found": lambda s, d: neighbors.found(table(s, d, "rules")),
     "p8_ids": lambda s, d: tokens.encode(table(s, d, "documents")),
     "p9_containers": lambda s, d: packing.pack_documents(table(s, d, "documents")),
+    "p10_found": lambda s, d: reading.grade(table(s, d, "documents"), table(s, d, "reading_labels")),
 }
 
 _SPACE = "' ' || " + " || ".join(f"chr({c})" for c in (9, 10, 11, 12, 13, 133, 160))
