@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..schemas import SCHEMAS, conform
+from ..schemas import SCHEMAS, conform, schema
 
 
 def read_table(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """S-1, S-2: a Parquet snapshot, conformed to the schema of table `name` if one is given."""
     df = spark.read.parquet(path)
-    return conform(df, SCHEMAS[name]) if name else df
+    return conform(df, schema(name)) if name else df
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] = (0, 0), parts: int = 1, **options: str) -> DataFrame:
@@ -30,8 +30,7 @@ def read_jsonl_strict(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def read_jsonl_counting(spark: SparkSession, path: str, name: str) -> DataFrame:
     """S-4: JSON lines; a malformed line becomes a row with its text in `corrupt`, everything else null."""
-    schema = SCHEMAS[name].add("corrupt", "string")
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(path)
+    return spark.read.schema(f"{SCHEMAS[name]}, corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(path)
 
 
 def harvest(pages: DataFrame, order: list[Column], least: int = 200, per_source: int = 25, cut: int = 12000) -> DataFrame:

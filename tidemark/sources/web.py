@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import content_hash, main_text, page_title, strip
 from ..functions.urls import normalize_url
@@ -19,7 +20,7 @@ from ..functions.urls import normalize_url
 PER_FILE = 300
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unpacked(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def text(b) -> str:
         if b is None:
@@ -144,7 +145,7 @@ def pdf_pages(pages: int = 40, chars: int = 60_000):
         except Exception:  # noqa: BLE001 - an unreadable file has no text
             return ""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda b: read(b) if b is not None else "")
 
