@@ -78,6 +78,10 @@ class Filters:
         fill = np.array([((masks >> np.uint32(i)) & 1).mean() for i in range(len(languages))])
         return Filters(languages, masks, fill**HASHES)
 
+    def parts(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """What a filter is made of, for a broadcast."""
+        return self.languages, self.masks, self.rates
+
     @staticmethod
     def _at(h: np.ndarray, k: int) -> np.ndarray:
         return ((h if k == 0 else h * _WEIGHTS[k]) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -142,12 +146,13 @@ _LINES = "row long, line_no array<int>, size array<int>, lang array<int>, sure a
 
 def line_languages(texts: DataFrame, filters: Filters) -> DataFrame:
     """(row, line_no, size, lang, sure) for the non-blank lines of (row, text): the language of each by its number."""
-    shared = texts.sparkSession.sparkContext.broadcast((filters, letters()))  # of fixed size
+    shared = texts.sparkSession.sparkContext.broadcast((filters.parts(), letters()))  # of fixed size
 
     def run(batches):
-        f, table = shared.value
+        parts, table = shared.value
+        f = Filters(*parts)
         for b in batches:
-            rows, starts, ends, size, no, owner, parts, at = b.column(0), [], [], [], [], [], [], 0
+            rows, starts, ends, size, no, owner, texts, at = b.column(0), [], [], [], [], [], [], 0
             for r, text in enumerate(b.column(1).to_pylist()):
                 for i, line in enumerate((text or "").split("\n")):
                     if bare := line.strip():
@@ -156,10 +161,10 @@ def line_languages(texts: DataFrame, filters: Filters) -> DataFrame:
                         size.append(len(bare))
                         no.append(i)
                         owner.append(r)
-                        parts.append(line)
+                        texts.append(line)
                         at += len(line) + 1
-            masks = f.look_up(gram_hashes("\n".join(parts), table)) if parts else np.zeros(0, np.uint32)
-            lang, sure = f.decide(masks, np.array(starts, np.int64), np.minimum(np.array(ends, np.int64), len(masks))) if f.languages else (np.full(len(parts), -1), np.zeros(len(parts)))
+            masks = f.look_up(gram_hashes("\n".join(texts), table)) if texts else np.zeros(0, np.uint32)
+            lang, sure = f.decide(masks, np.array(starts, np.int64), np.minimum(np.array(ends, np.int64), len(masks))) if f.languages else (np.full(len(texts), -1), np.zeros(len(texts)))
             cut = np.searchsorted(np.array(owner, np.int64), np.arange(b.num_rows + 1)).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(np.asarray(v, t))) for v, t in ((no, np.int32), (size, np.int32), (lang, np.int32), (sure, np.float64))]
             yield pa.RecordBatch.from_arrays([rows, *lists], names=["row", "line_no", "size", "lang", "sure"])
