@@ -8,7 +8,7 @@ groups of bounded size that are packed independently, which leaves at most a con
 Result: one row per piece (container, doc_id, offset, length, container_offset); offset counts from the start of the
 document, container_offset from the start of the container. A document longer than the capacity gives full
 pieces and a rest, any other is one piece. Null, empty and otherwise token-free documents have length 0: they take no
-room and lie in the first container of their group. Repeated doc_ids are packed as separate documents. An empty
+room and lie in the first container of their group. Repeated and null doc_ids are packed as separate documents. An empty
 table gives no rows.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,12 +87,11 @@ def pack_sizes(sizes, capacity: int = CAPACITY) -> list[list[int]]:
     return bins
 
 
-def _pack_group(key: tuple, pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
+def _pack_group(group: int, docs: list, sizes: list[int], capacity: int) -> list[tuple]:
+    """The rows of one group of documents."""
     by_size, out = defaultdict(list), []
-    first = int(key[0]) << 32
-    bins = 0
-    for doc, n in zip(pdf["doc_id"].to_numpy(), pdf["n_ids"].to_numpy()):
-        doc, n = (None if pd.isna(doc) else int(doc)), int(n)
+    first, bins = group << 32, 0
+    for doc, n in zip(docs, sizes):
         at = 0
         while n - at > capacity:
             out.append((first + bins, doc, at, capacity, 0))
@@ -106,8 +105,7 @@ def _pack_group(key: tuple, pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
             out.append((first + bins, doc, at, s, used))
             used += s
         bins += 1
-    out.extend((first, doc, at, 0, 0) for doc, at in empty)
-    return pd.DataFrame(out, columns=["container", "doc_id", "offset", "length", "container_offset"]).astype({"doc_id": "Int64"})
+    return out + [(first, doc, at, 0, 0) for doc, at in empty]
 
 
 def pack(sizes: DataFrame, capacity: int = CAPACITY, docs_per_group: int = DOCS_PER_GROUP) -> DataFrame:
@@ -116,10 +114,12 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, docs_per_group: int = DOCS_
     groups = max(1, -(-sizes.count() // docs_per_group))
     keyed = sizes.withColumn("group", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(groups)).cast("long"))
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return _pack_group(key, pdf, capacity)
+    def run(t: pa.Table) -> pa.Table:
+        rows = _pack_group(t.column("group")[0].as_py(), t.column("doc_id").to_pylist(), t.column("n_ids").to_pylist(), capacity)
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.table({k: pa.array(c, x) for k, c, x in zip(("container", "doc_id", "offset", "length", "container_offset"), zip(*rows), types)})
 
-    return keyed.groupBy("group").applyInPandas(run, _SCHEMA)
+    return keyed.groupBy("group").applyInArrow(run, _SCHEMA)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:

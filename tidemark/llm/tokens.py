@@ -7,7 +7,7 @@ once, the ids are joined back to the (block, word) rows, and every block is reas
 text itself is shuffled, only the compressed positions.
 
 Edge cases: null and empty texts give an empty list; blank texts are encoded as they are; strings of special tokens
-are ordinary text; repeated doc_ids give one row each; an empty table gives no rows; a text of any length is one
+are ordinary text; repeated and null doc_ids give one row each; an empty table gives no rows; a text of any length is one
 piece of one block and is never cut. Extra columns are ignored.
 """
 
@@ -106,11 +106,11 @@ def block_dictionaries(blocks: DataFrame, vocabulary: str = VOCABULARY) -> DataF
     return back.groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"]).alias("known"))
 
 
-def _unpacked(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(batch: pa.RecordBatch, i: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """doc_ids, sizes, word positions, and the flat ids of the words with their offsets, of row i."""
     import zstandard
 
-    doc_ids, sizes = (batch.column(n)[i].values.to_numpy(zero_copy_only=False) for n in ("doc_ids", "sizes"))
+    doc_ids, sizes = batch.column("doc_ids")[i].values, batch.column("sizes")[i].values.to_numpy(zero_copy_only=False)
     known = batch.column("known")[i]
     known = known.values if known.is_valid else pa.array([], pa.list_(pa.int32()))
     flat = known.flatten().to_numpy(zero_copy_only=False)
@@ -142,7 +142,7 @@ def _reassemble(batches):
             while a < len(doc_ids):
                 b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _BATCH_IDS, "right")) - 1)
                 part = pa.ListArray.from_arrays(pa.array((offsets[a : b + 1] - offsets[a]).astype(np.int32)), pa.array(ids[offsets[a] : offsets[b]]))
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids[a:b], pa.int64()), part], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(a, b - a), part], names=["doc_id", "ids"])
                 a = b
 
 
@@ -151,7 +151,7 @@ def _count(batches):
         for i in range(batch.num_rows):
             doc_ids, sizes, seq, _, starts = _unpacked(batch, i)
             n = np.diff(_per_doc((starts[1:] - starts[:-1])[seq], sizes))
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_ids"])
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(n, pa.int64())], names=["doc_id", "n_ids"])
 
 
 def _with_dictionaries(docs: DataFrame, vocabulary: str, id_col: str, text_col: str) -> DataFrame:
