@@ -9,18 +9,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_DECODER = json.JSONDecoder()
 _SPACE = " \t\r\n"
 
 
 def salvage(raw: str | None) -> list[dict] | None:
     """The objects of the first array in raw. Whole arrays come back as they are; of one that is cut off, the objects
     before the cut do. None if there is no array, none of its objects is complete, or it holds anything but objects."""
+    decode = json.JSONDecoder().raw_decode
     start = (raw or "").find("[")
     if start < 0:
         return None
     try:
-        whole, _ = _DECODER.raw_decode(raw, start)
+        whole, _ = decode(raw, start)
         return whole if all(isinstance(x, dict) for x in whole) else None
     except ValueError:
         pass
@@ -29,7 +29,7 @@ def salvage(raw: str | None) -> list[dict] | None:
         while at < len(raw) and raw[at] in _SPACE + ",":
             at += 1
         try:
-            x, at = _DECODER.raw_decode(raw, at)
+            x, at = decode(raw, at)
         except ValueError:
             return out or None
         if not isinstance(x, dict):

@@ -31,7 +31,7 @@ def rule_key(name: Column, if_condition: Column) -> Column:
 
 
 def page_title(html: Column) -> Column:
-    """F-5: the first <title>, squeezed, cut before the site suffix, at most 200 characters."""
+    """F-5: the first <title>, squeezed, cut before the site suffix, at most 200 characters; '' for null."""
     whole = squeeze(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
     head = F.split(whole, r"\s*[|–—-]\s{0,2}(?=[A-Z])")[0]
     return F.left(F.when(head != "", head).otherwise(whole), F.lit(200))
@@ -51,7 +51,7 @@ def chunks(c: Column, size: int = 12000, least: int = 6000) -> Column:
     at = F.when(p == 0, -1).otherwise(F.lit(size) - p)
     cut = F.when(at > least, at).otherwise(size)
     two = F.array(F.left(c, cut), F.substring(c, cut + 1, F.lit(size)))
-    return F.when(F.length(c) <= size, F.array(c)).otherwise(two)
+    return F.when(F.length(c) <= size, F.array(c)).when(F.length(c) > size, two)
 
 
 def relevance_hits(c: Column, pattern: str) -> Column:
