@@ -153,10 +153,10 @@ _SHARES = "label long, found double, tried double, lines long, listing long, tit
 def _align(block: pa.Table) -> pa.Table:
     """Aligns the pages of one block; per label: alignments in which it was found again and tried, and its lines."""
     article, labels, frames, counted = (block.column(c).to_pylist() for c in ("article", "label", "frame", "counted"))
-    ends = bool(block.column("ends")[0].as_py())
+    ends, rows = bool(block.column("ends")[0].as_py()), block.column("row").to_pylist()
     first = [{x: i for i, x in reversed(list(enumerate(v)))} for v in labels]
     first_frames = [{x: i for i, x in reversed(list(enumerate(v))) if x} for v in frames]
-    order = sorted(range(len(article)), key=lambda i: (article[i], i))
+    order = sorted(range(len(article)), key=lambda i: (article[i], rows[i]))
     sums: dict[int, list[float]] = {}
     for at, i in enumerate(order):
         pilots = []
@@ -198,7 +198,7 @@ def wrapper(t: DataFrame) -> DataFrame:
     hosts = sizes.groupBy("site").agg(F.sum("size").alias("pages"))
     sizes = sizes.join(hosts, "site").select("template", "size", (F.col("size") >= RARE * F.col("pages")).alias("ends"))
     blocks = t.join(sizes, "template").withColumn("salt", F.pmod(F.xxhash64("article"), F.ceil(F.col("size") / BLOCK)))
-    shares = blocks.select("template", "salt", "article", "label", "frame", "counted", "ends").groupBy("template", "salt").applyInArrow(_align, _SHARES)
+    shares = blocks.select("template", "salt", "row", "article", "label", "frame", "counted", "ends").groupBy("template", "salt").applyInArrow(_align, _SHARES)
     zero = F.lit(0.0)
     titles = t.filter("title <> 0").select(F.col("title").alias("label"), zero.alias("found"), zero.alias("tried"), F.lit(0).cast("long").alias("lines"), F.lit(0).cast("long").alias("listing"), F.lit(1).cast("long").alias("titles"))
     s = shares.unionByName(titles).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("found", "tried", "lines", "listing", "titles")])

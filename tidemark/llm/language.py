@@ -28,6 +28,8 @@ SAMPLE_DOCS = 300
 #: A gram belongs to a language if it was seen at least LEAST_SEEN times and is not FOREIGN times rarer than elsewhere.
 LEAST_SEEN, FOREIGN = 3, 0.1
 GRAM, BITS, HASHES = 4, 20, 2
+#: Characters whose grams are looked up at once (a longer line is taken alone).
+TOGETHER = 1_000_000
 #: Characters from which a foreign line is a segment of its own.
 SEGMENT = 40
 #: Confidence below which a line is not taken for a foreign one.
@@ -151,23 +153,33 @@ def line_languages(texts: DataFrame, filters: Filters) -> DataFrame:
     def run(batches):
         parts, table = shared.value
         f = Filters(*parts)
+
+        def decided(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            if not f.languages:
+                return np.full(len(lines), -1), np.zeros(len(lines))
+            starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
+            masks = f.look_up(gram_hashes("\n".join(lines), table))
+            return f.decide(masks, starts, np.minimum(starts + [len(x) - GRAM + 2 for x in lines], len(masks)))
+
         for b in batches:
-            rows, starts, ends, size, no, owner, texts, at = b.column(0), [], [], [], [], [], [], 0
-            for r, text in enumerate(b.column(1).to_pylist()):
-                for i, line in enumerate((text or "").split("\n")):
+            size, no, owner, waiting, chars, got = [], [], [], [], 0, []
+            for r, text in enumerate(b.column(1)):
+                for i, line in enumerate((text.as_py() or "").split("\n")):
                     if bare := line.strip():
-                        starts.append(at)
-                        ends.append(at + len(line) - GRAM + 2)
                         size.append(len(bare))
                         no.append(i)
                         owner.append(r)
-                        texts.append(line)
-                        at += len(line) + 1
-            masks = f.look_up(gram_hashes("\n".join(texts), table)) if texts else np.zeros(0, np.uint32)
-            lang, sure = f.decide(masks, np.array(starts, np.int64), np.minimum(np.array(ends, np.int64), len(masks))) if f.languages else (np.full(len(texts), -1), np.zeros(len(texts)))
+                        waiting.append(line)
+                        chars += len(line)
+                        if chars > TOGETHER:
+                            got.append(decided(waiting))
+                            waiting, chars = [], 0
+            if waiting:
+                got.append(decided(waiting))
+            lang, sure = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0), np.zeros(0))
             cut = np.searchsorted(np.array(owner, np.int64), np.arange(b.num_rows + 1)).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(np.asarray(v, t))) for v, t in ((no, np.int32), (size, np.int32), (lang, np.int32), (sure, np.float64))]
-            yield pa.RecordBatch.from_arrays([rows, *lists], names=["row", "line_no", "size", "lang", "sure"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *lists], names=["row", "line_no", "size", "lang", "sure"])
 
     return texts.mapInArrow(run, _LINES)
 
