@@ -91,7 +91,7 @@ def _pack_group(group: int, docs: list, sizes: list[int], capacity: int) -> list
     """The rows of one group of documents."""
     by_size, out = defaultdict(list), []
     first, bins = group << 32, 0
-    for doc, n in zip(docs, sizes):
+    for doc, n in sorted(zip(docs, sizes), key=lambda x: (x[0] is None, x[0] or 0, x[1])):
         at = 0
         while n - at > capacity:
             out.append((first + bins, doc, at, capacity, 0))
