@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
-from ..functions.urls import normalize_url, url_allowed
+from ..functions.urls import deny_reason, normalize_url, url_allowed
 
 CONSUMED = ("extracted", "empty", "irrelevant", "gave_up")
 GIVE_UP = 3
@@ -114,3 +114,14 @@ def consume(outcomes: DataFrame, prior_failures: DataFrame, limit: int = GIVE_UP
 def marker_moves(consumed: DataFrame) -> DataFrame:
     """T-4: per source whether its version marker may advance: everything was consumed and nothing was cut off."""
     return consumed.groupBy("source_id").agg((F.bool_and("consumed") & ~F.bool_or("truncated")).alias("advance"))
+
+
+def preflight(pages: DataFrame, registry: DataFrame, state: DataFrame) -> DataFrame:
+    """P-22: what a walk would find, without writing anything: per source the listed and distinct pages, those barred by
+    each global rule or by the source's own pattern, and of the rest the known and the new ones."""
+    p = pages.select("source_id", normalize_url(F.col("loc")).alias("url"))
+    g = p.groupBy("source_id", "url").agg(F.count(F.lit(1)).alias("n"))
+    j = g.join(registry.select("source_id", "url_filter"), "source_id", "left").join(state.select("url", F.lit(True).alias("_known")).dropDuplicates(["url"]), "url", "left")
+    why = F.coalesce(deny_reason(F.col("url")), F.when(~url_allowed(F.col("url"), F.col("url_filter")), "filter"), F.when(F.col("_known"), "known"), F.lit("new"))
+    c = lambda x: F.sum((F.col("_why") == x).cast("int")).cast("long").alias(x)
+    return j.withColumn("_why", why).groupBy("source_id").agg(F.sum("n").alias("listed"), F.count(F.lit(1)).alias("pages"), *[c(x) for x in ("root", "path", "query", "filter", "known", "new")])

@@ -123,6 +123,13 @@ def upsert_aliases(aliases: DataFrame, seed: DataFrame) -> DataFrame:
     return aliases.join(s.select("alias"), "alias", "left_anti").select("alias", "canonical_org").unionByName(s)
 
 
+def upsert_topics(topics: DataFrame, seed: DataFrame) -> DataFrame:
+    """M-19: seed rows replace those of the same topic; the last of several rows for a topic, by its columns, counts."""
+    rest = [c for c in topics.columns if c != "topic"]
+    s = seed.groupBy("topic").agg(F.max(F.struct(*rest)).alias("r")).select("topic", "r.*")
+    return topics.join(s.select("topic"), "topic", "left_anti").select(*topics.columns).unionByName(s.select(*topics.columns))
+
+
 def numbered(df: DataFrame, start: int, order: list[Column]) -> DataFrame:
     """W-7: consecutive ids from start + 1 in the given order, without a window over all rows: counts per partition of a
     range-partitioned table give the offsets. Equal rows of the order must be settled by it."""

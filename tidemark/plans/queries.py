@@ -292,6 +292,12 @@ def probe_budget(s, d):
     return incremental.walk(incremental.rotate(_listed(s, d), off), before, retries, filters=r)
 
 
+def preflight(s, d):
+    """P-22: a dry run over the sitemaps of the last snapshot against the state before it."""
+    before = table(s, d, "url_state").filter("snapshot_no = 3").select(ux.normalize_url(F.col("url")).alias("url")).filter("url IS NOT NULL")
+    return incremental.preflight(_listed(s, d), table(s, d, "source_registry"), before)
+
+
 def next_cursor(s, d):
     n = _listed(s, d).groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
     r = table(s, d, "source_registry").filter("adapter_type = 'sitemap'")
@@ -475,7 +481,7 @@ QUERIES = {
         rule_key, numeric_text_guard, embed_text, rule_status, brain_health, trusted_rules, citable_rules, registry_health, overdue_sources, due_sources, org_hygiene,
         health_snapshot, drift, status_histogram, scorecard_runs, recent_changes, source_health_list, rules_added, top_orgs_with_url, coverage_totals, tag_mode, max_rule_id,
         run_summary, source_ledger, canon_probe, neighbor_adopt, alias_normalize, org_normalize_pipeline, evidence_cutoff, latest_change_per_url, pending_retries,
-        failure_backstop, failure_streak, capped_changes, consume, marker_moves, rotation_window, probe_budget, next_cursor, sitemap_parse, seed_url_list, adapter_dispatch,
+        failure_backstop, failure_streak, capped_changes, consume, marker_moves, rotation_window, probe_budget, preflight, next_cursor, sitemap_parse, seed_url_list, adapter_dispatch,
         harvest, reconcile_excerpts, quality_gate, reverify_stamp, retire_removed, state_after_removal, mark_pending, url_state_rekey, url_state_upsert, source_upsert,
         source_health_fold, upsert_fold, undeprecate, stale_runs, run_detail, embedding_queue, document_upsert, observe_gate, snapshot_delta, event_windows, numbered_rules,
     )

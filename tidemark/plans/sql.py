@@ -203,6 +203,11 @@ p AS (SELECT o.*, coalesce(lastmod <> '' AND lastmod = b.last_modified, false) A
   FROM ok o LEFT JOIN before b ON b.url = o.loc WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.source_id = o.source_id AND f.loc = o.loc)),
 w AS (SELECT *, sum(CASE WHEN still THEN 0 ELSE 1 END) OVER (PARTITION BY source_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS cost FROM p)
 SELECT source_id, loc, turn, CASE WHEN still THEN 'unchanged' ELSE 'probe' END AS action FROM w WHERE cost <= 20 - paid UNION ALL SELECT source_id, loc, -1, 'retry' FROM first""",
+    "preflight": f"""WITH {LISTED}, before AS (SELECT DISTINCT {norm('url')} AS url FROM url_state WHERE snapshot_no = 3),
+g AS (SELECT source_id, {norm('loc')} AS url, count(*) AS n FROM listed GROUP BY ALL),
+w AS (SELECT source_id, n, coalesce({deny('g.url')}, CASE WHEN NOT (coalesce(url_filter, '') = '' OR coalesce(regexp_matches({path_of('g.url')}, url_filter), false)) THEN 'filter' WHEN b.url IS NOT NULL THEN 'known' ELSE 'new' END) AS why
+  FROM g LEFT JOIN source_registry r USING (source_id) LEFT JOIN before b ON b.url = g.url)
+SELECT source_id, sum(n)::BIGINT AS listed, count(*) AS pages, count(*) FILTER (why = 'root') AS root, count(*) FILTER (why = 'path') AS path, count(*) FILTER (why = 'query') AS query, count(*) FILTER (why = 'filter') AS "filter", count(*) FILTER (why = 'known') AS known, count(*) FILTER (why = 'new') AS "new" FROM w GROUP BY 1""",
     "next_cursor": f"""WITH {LISTED}, {OFFSETS}, n AS (SELECT source_id, count(*) AS n FROM listed GROUP BY 1)
 SELECT source_id, CASE WHEN child IS NULL THEN (coalesce(off, 0) + 20) % greatest(coalesce(n, 0), 1) END AS "offset", CASE WHEN child IS NOT NULL THEN (child + 1) % greatest(coalesce(n, 0), 1) END AS child
 FROM offsets LEFT JOIN n USING (source_id) WHERE adapter_type = 'sitemap'""",
