@@ -167,7 +167,7 @@ def drift(rules: DataFrame, as_of: str = AS_OF, bins: int = 20) -> DataFrame:
     q = (F.col("all_n") - F.col("n") + 0.5) / (F.sum("all_n").over(f) - F.col("load_n") + 0.5 * k)
     grid = grid.select("run_id", "field", "load_n", p.alias("p"), q.alias("q"))
     return grid.groupBy("run_id", "field").agg(
-        F.round(F.sum((F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))), 6).alias("psi"),
-        F.round(F.sum(F.col("load_n") * (F.col("p") - F.col("q")) * (F.col("p") - F.col("q")) / F.col("q")), 4).alias("chi2"),
+        F.round(F.sum((F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))), 4).alias("psi"),
+        F.round(F.sum(F.col("load_n") * (F.col("p") - F.col("q")) * (F.col("p") - F.col("q")) / F.col("q")), 2).alias("chi2"),
         F.count(F.lit(1)).alias("classes"),
     )

@@ -57,6 +57,21 @@ others AS (
 SELECT field, 'value' AS case_kind, id AS case_key FROM checked WHERE value IS NOT NULL AND NOT coalesce(valid, false)
 UNION ALL
 SELECT DISTINCT field, 'load', run_id::VARCHAR FROM others WHERE abs(x - m) >= 0.2 - 1e-9""",
+    "p1_drift": f"""WITH {_CHECKED},
+v AS (
+  SELECT run_id, field, CASE WHEN value IS NULL THEN 'missing' WHEN NOT coalesce(valid, false) THEN 'invalid' WHEN field = 'confidence_score' THEN floor(value::DOUBLE * 20)::BIGINT::VARCHAR
+    WHEN field = 'last_verified' THEN left(value, 7) ELSE lower(split_part(value, ':', 1)) || '/' || least(9, len(string_split(value, '/')))::VARCHAR END AS kind
+  FROM checked WHERE run_id IS NOT NULL
+),
+per AS (SELECT run_id, field, kind, count(*) AS n FROM v GROUP BY ALL),
+kinds AS (SELECT field, kind, sum(n) AS all_n FROM per GROUP BY ALL),
+loads AS (SELECT run_id, field, sum(n) AS load_n FROM per GROUP BY ALL),
+grid AS (
+  SELECT l.run_id, l.field, load_n, coalesce(n, 0) AS n, all_n, count(*) OVER w AS k, sum(all_n) OVER w AS total
+  FROM loads l JOIN kinds USING (field) LEFT JOIN per USING (run_id, field, kind) WINDOW w AS (PARTITION BY l.run_id, l.field)
+),
+pq AS (SELECT run_id, field, load_n::DOUBLE AS load_n, (n + 0.5)::DOUBLE / (load_n + 0.5 * k)::DOUBLE AS p, (all_n - n + 0.5)::DOUBLE / (total - load_n + 0.5 * k)::DOUBLE AS q FROM grid)
+SELECT run_id, field, round(sum((p - q) * ln(p / q)), 4) AS psi, round(sum(load_n * (p - q) * (p - q) / q), 2) AS chi2, count(*) AS classes FROM pq GROUP BY ALL""",
     "p7_found": r"""WITH u AS (
   SELECT snapshot_no, regexp_replace(trim(url), '#.*$', '') AS u, lower(content_hash) AS h, last_seen_at FROM url_state WHERE url IS NOT NULL
 ),
