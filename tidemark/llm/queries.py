@@ -34,4 +34,18 @@ SELECT k AS rule_key, first(id ORDER BY slashes DESC, id) FILTER (url_ok) AS url
   first(id ORDER BY (coalesce(provenance_status, '') = 'verified_excerpt') DESC, extracted_at DESC NULLS LAST, id) FILTER (conf_ok) AS score_id,
   first(id ORDER BY last_verified DESC, id) FILTER (seen_ok) AS verified_id
 FROM keyed GROUP BY k HAVING count(*) >= 2""",
+    "p5_golden": f"""WITH {_P5},
+u AS (
+  SELECT k, 'source_url' AS field, CASE WHEN url_ok THEN lower(regexp_extract(trim(source_url), '^[^/]*//[^/?#]*')) || regexp_replace(substr(trim(source_url), len(regexp_extract(trim(source_url), '^[^/]*//[^/?#]*')) + 1), '/+$', '') END AS norm, provenance_status, extracted_at FROM keyed
+  UNION ALL SELECT k, 'confidence_score', CASE WHEN conf_ok THEN confidence_score::DOUBLE::VARCHAR END, provenance_status, extracted_at FROM keyed
+  UNION ALL SELECT k, 'last_verified', CASE WHEN seen_ok THEN strftime(last_verified::TIMESTAMPTZ AT TIME ZONE 'UTC', '%Y-%m-%d') END, provenance_status, extracted_at FROM keyed
+),
+w AS (
+  SELECT *, CASE provenance_status WHEN 'verified_excerpt' THEN 1.0 WHEN 'observed' THEN 0.6 WHEN 'source_change_pending' THEN 0.5 WHEN 'unverified' THEN 0.4 WHEN 'source_changed' THEN 0.2 ELSE 0.3 END::DOUBLE
+    * pow(2.0::DOUBLE, -greatest(0, coalesce(epoch(TIMESTAMP '2026-01-01 00:00:00') - epoch_us(extracted_at) / 1000000.0::DOUBLE, 720.0 * 86400)) / 86400 / 180) AS vote FROM u
+),
+v AS (SELECT k, field, norm, round(sum(vote), 9) AS votes, count(*) AS n FROM w GROUP BY ALL),
+b AS (SELECT k, field, first(norm ORDER BY votes DESC, norm DESC) FILTER (norm IS NOT NULL) AS best, sum(n)::BIGINT AS n FROM v GROUP BY ALL)
+SELECT k AS rule_key, max(best) FILTER (field = 'source_url') AS source_url, max(best) FILTER (field = 'confidence_score') AS confidence_score, max(best) FILTER (field = 'last_verified') AS last_verified, max(n) AS n
+FROM b GROUP BY k HAVING max(n) >= 2""",
 }
