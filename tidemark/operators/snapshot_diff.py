@@ -46,8 +46,9 @@ def _cell(j: int, cells: Column) -> Column:
 
 
 def iblt(rows: DataFrame, cells: Column) -> DataFrame:
-    """(snapshot_no, bucket, cell, n, key, digest, check): one table per snapshot and bucket."""
-    r = rows.select("snapshot_no", "bucket", "key", "digest", F.xxhash64("key", "digest", F.lit(7)).alias("check"), F.explode(F.array(*[_cell(j, cells) for j in range(CELLS)])).alias("cell"))
+    """(snapshot_no, bucket, cell, n, key, digest, check): one table per snapshot and bucket. Rows meet by bucket before
+    they are multiplied by their cells, so the cells are summed where they arise."""
+    r = rows.repartition("bucket").select("snapshot_no", "bucket", "key", "digest", F.xxhash64("key", "digest", F.lit(7)).alias("check"), F.explode(F.array(*[_cell(j, cells) for j in range(CELLS)])).alias("cell"))
     return r.groupBy("snapshot_no", "bucket", "cell").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(c).alias(c) for c in ("key", "digest", "check")])
 
 
