@@ -97,9 +97,10 @@ def walk(pages: DataFrame, state: DataFrame, retries: DataFrame, budget: int = 2
 
 def capped(changes: DataFrame, limit: int = 15) -> DataFrame:
     """W-5: the first `limit` changes of each source and run; adds `truncated`, whether there were more."""
-    w = W.partitionBy("run_id", "source_id")
-    n = changes.withColumns({"_i": F.row_number().over(w.orderBy("change_id")), "truncated": F.count(F.lit(1)).over(w) > limit})
-    return n.filter(F.col("_i") <= limit).drop("_i")
+    n = changes.groupBy(F.col("run_id").alias("_r"), F.col("source_id").alias("_s")).agg((F.count(F.lit(1)) > limit).alias("truncated"))
+    w = W.partitionBy("run_id", "source_id").orderBy("change_id")
+    first = changes.withColumn("_i", F.row_number().over(w)).filter(F.col("_i") <= limit).drop("_i")
+    return first.join(n, F.col("run_id").eqNullSafe(F.col("_r")) & F.col("source_id").eqNullSafe(F.col("_s"))).drop("_r", "_s")
 
 
 def consume(outcomes: DataFrame, prior_failures: DataFrame, limit: int = GIVE_UP, monitor: bool = False) -> DataFrame:
