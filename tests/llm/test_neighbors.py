@@ -90,3 +90,28 @@ def test_blocks_find_every_close_row(n):
     got = {(int(a), int(b)) for x, y in nb._near_in_block(sketch, h, 4, n) for a, b in zip(x, y)} if n > 1 else set()
     want = {(i, j) for i in range(n) for j in range(n) if i != j and int(sketch[i] ^ sketch[j]).bit_count() <= 4 and (sketch[i] ^ sketch[j]) >= 0}
     assert want <= got
+
+
+def test_dense_group_has_its_true_neighbours(spark):
+    """Distinct vectors around one centre, pairwise cosine near 0.95: sketches cannot rank them, the floats must."""
+    rng = np.random.default_rng(11)
+    c = rng.normal(size=64)
+    v = [c + 0.23 * rng.normal(size=64) for _ in range(1000)] + list(rng.normal(size=(500, 64)))
+    ids = [f"{i:06d}" for i in range(len(v))]
+    got, want = {tuple(r) for r in nb.found(frame(spark, v)).collect()}, brute(ids, v)
+    recall = len(got & want) / len(want)
+    print(f"recall in a dense group {recall:.3f} of {len(want)}")
+    assert recall >= 0.97
+
+
+def test_crowd_of_several_tiles_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(nb, "TILE", 100)
+    rng = np.random.default_rng(12)
+    c = rng.normal(size=64)
+    v = [c + 0.3 * rng.normal(size=64) for _ in range(450)]
+    ids = [f"{i:06d}" for i in range(len(v))]
+    vectors = nb.usable(frame(spark, v), "id", "embedding", 64)
+    e = nb.crowd_edges(vectors.selectExpr("h", "7L AS key"), vectors, 10, 0.85, 64)
+    name = {r["h"]: r["id"] for r in vectors.collect()}
+    got = {(min(name[r["a"]], name[r["b"]]), max(name[r["a"]], name[r["b"]])) for r in e.collect()}
+    assert got == brute(ids, v)

@@ -7,9 +7,10 @@ probing its own buckets retrieves every code within that Hamming radius, and mos
 logarithm of the collection, so buckets keep their size. Candidates are filtered by the Hamming distance of a 64-bit
 sketch inside the sorted buckets, made distinct, and reranked by the cosine of the floats.
 
-Equal directions (copies, also scaled ones) are taken as one vector and stand for each other afterwards; a bucket that
-still grows beyond HOT rows is split by further bits of the sketch, and then searched block against block, each row
-keeping its nearest ones, so no task emits all pairs of a group.
+Equal directions (copies, also scaled ones) are taken as one vector and stand for each other afterwards. Sketches cannot
+rank the rows of a dense group, so a bucket of more than HOT rows, or with more than KEEP close pairs a row, is searched
+by the floats: tile against tile, over as many tasks as it has pairs of tiles, each row keeping its k most similar and all
+that equal the last of them. Every pair of the bucket is compared, and no task emits all pairs of a group.
 
 Edge cases: vectors of another length, with null, NaN or infinite numbers, and all-zero ones are left out; null ids too;
 equal similarities are ranked by id; repeated ids count once; fewer than two vectors give no rows.
@@ -33,8 +34,10 @@ SAMPLE, ROUNDS = 10_000, 12
 TABLES = 20
 #: Largest Hamming distance of two 64-bit sketches that is still reranked: cosine 0.85 differs in 11.3 +- 3.1 bits.
 RADIUS = 20
-#: Rows of a bucket above which it is split, and neighbours a row keeps in one that cannot be split.
-HOT, KEEP = 256, 48
+#: Rows of a bucket, and close pairs a row in it, above which it is searched by the floats; rows of a tile there.
+HOT, KEEP, TILE = 256, 48, 4096
+#: Rows of a bucket up to which buckets are compared side by side, not one by one.
+SMALL = 32
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
@@ -114,62 +117,108 @@ def _near_in_runs(key: np.ndarray, sketch: np.ndarray, h: np.ndarray, radius: in
 
 
 def _near_in_block(sketch: np.ndarray, h: np.ndarray, radius: int, keep: int):
-    """Each row's nearest `keep` rows within the radius, block against block."""
+    """The rows within the radius of each row, block against block; all of them if keep is the number of rows."""
     for a in range(0, len(h), 512):
         dist = _distance(sketch[a : a + 512, None], sketch[None, :]).astype(np.uint8)
         dist[np.arange(dist.shape[0]), a + np.arange(dist.shape[0])] = 255
-        k = min(keep, dist.shape[1] - 1)
-        near = np.argpartition(dist, k - 1, axis=1)[:, :k]
-        i, j = np.nonzero(np.take_along_axis(dist, near, 1) <= radius)
-        yield h[a + i], h[near[i, j]]
-
-
-def near_in_bucket(sketch: np.ndarray, h: np.ndarray, radius: int, keep: int = KEEP, hot: int = HOT):
-    """Close pairs of one large bucket: split by each 16 bits of the sketch, then block by block."""
-    for shift in (0, 16, 32, 48):
-        part = (sketch.view(np.uint64) >> np.uint64(shift)) & np.uint64(0xFFFF)
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.diff(part[order])) + 1
-        for at in np.split(order, cuts):
-            if 1 < len(at):
-                yield from _near_in_block(sketch[at], h[at], radius, keep)
+        if keep < len(h) - 1:
+            dist[dist > np.partition(dist, keep - 1, axis=1)[:, keep - 1 : keep]] = 255
+        i, j = np.nonzero(dist <= radius)
+        yield h[a + i], h[j]
 
 
 def candidates(buckets: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
-    """(a, b) with a < b: pairs that share a bucket and have close sketches, each once."""
+    """(a, b, crowd): pairs a < b that share a bucket and have close sketches, each once; and, where crowd is true, the
+    rows a of each bucket b that is to be searched by the floats."""
 
     def run(batches):
-        def emit(pairs):
-            for x, y in pairs:
+        def emit(a, b, crowd):
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), crowd))], names=["a", "b", "crowd"])
+
+        def pairs(found):
+            for x, y in found:
                 a, b = np.minimum(x, y), np.maximum(x, y)
                 ok = a != b
                 if ok.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
+                    yield emit(a[ok], b[ok], False)
 
         rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
-        ended = object()
+        ended, crowd = object(), None
         for b in _chain(batches, ended):
             if b is not ended:
                 rest = [np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, b.columns)]
+                if crowd is not None:  # a bucket that was found large before its end
+                    m = int(np.searchsorted(rest[0], crowd, "right"))
+                    if m:
+                        yield emit(rest[2][:m], rest[0][:m], True)
+                    rest = [r[m:] for r in rest]
                 whole = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0
             else:
                 whole = len(rest[0])
             now, rest = [r[:whole] for r in rest], [r[whole:] for r in rest]
+            if len(rest[0]) > hot:
+                crowd = int(rest[0][0])
+                yield emit(rest[2], rest[0], True)
+                rest = [r[:0] for r in rest]
             if not whole:
                 continue
             key, sketch, h = now
             starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
             sizes = np.diff(starts)
-            large = sizes > hot
-            if large.any():
-                for s, n in zip(starts[:-1][large], sizes[large]):
-                    yield from emit(near_in_bucket(sketch[s : s + n], h[s : s + n], radius))
-                fine = np.repeat(~large, sizes)
-                key, sketch, h = key[fine], sketch[fine], h[fine]
-            yield from emit(_near_in_runs(key, sketch, h, radius))
-
-    pairs = buckets.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
-    return pairs.distinct()
+            large = sizes > SMALL
+            for s, n in zip(starts[:-1][large], sizes[large]):
+                near = list(_near_in_block(sketch[s : s + n], h[s : s + n], radius, n)) if n <= hot else []
+                if n > hot or sum(len(x) for x, _ in near) > 2 * KEEP * n:
+                    yield emit(h[s : s + n], key[s : s + n], True)
+                else:
+                    yield from pairs(near)
+            fine = np.repeat(~large, sizes)
+            yield from pairs(_near_in_runs(key[fine], sketch[fine], h[fine], radius))
+
+    return buckets.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long, crowd boolean").distinct()
+
+
+def _most_similar(x: np.ndarray, y: np.ndarray, hx: np.ndarray, hy: np.ndarray, k: int, least: float):
+    """(i, j): for each row i of x its k most similar rows j of y with a cosine of at least `least`, and perhaps more."""
+    wide = len(y) // 16
+    for a in range(0, len(x), 512):
+        sim = x[a : a + 512] @ y.T
+        sim[hx[a : a + 512, None] == hy[None, :]] = -2
+        low = np.full((len(sim), 1), least, np.float32)
+        if wide > k:  # the k-th largest of the maxima of disjoint sets is never above the k-th largest of all
+            top = sim[:, : 16 * wide].reshape(len(sim), 16, wide).max(axis=1)
+            low = np.maximum(low, np.partition(top, wide - k, axis=1)[:, wide - k, None])
+        i, j = np.nonzero(sim >= low - np.float32(1e-5))
+        yield a + i, j
+
+
+def crowd_edges(crowds: DataFrame, vectors: DataFrame, k: int, least: float, dim: int) -> DataFrame:
+    """(a, b, sim) from (h, key): the k most similar rows b of each row a among all rows of its buckets, by the floats in
+    double precision; of equal ones all."""
+
+    def run(key, rows):
+        p, q = key[1].as_py(), key[2].as_py()
+        h, tile = (rows.column(c).to_numpy() for c in ("h", "tile"))
+        x = _unit(_matrix(rows.column("embedding").combine_chunks(), dim))
+        if len(np.unique(h)) < len(h):
+            first = np.unique(np.column_stack([h.view(np.float64), x]).view(np.dtype((np.void, 8 * (dim + 1)))).ravel(), return_index=True)[1]
+            h, tile, x = h[first], tile[first], x[first]
+        f, out = x.astype(np.float32), [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
+        m, n = np.flatnonzero(tile == p), np.flatnonzero(tile == q)
+        for s, t in ((m, n),) if p == q else ((m, n), (n, m)):
+            for i, j in _most_similar(f[s], f[t], h[s], h[t], k, least):
+                i, j = s[i], t[j]
+                sim = np.einsum("ij,ij->i", x[i], x[j])
+                ok = sim >= least
+                out.append((h[i][ok], h[j][ok], sim[ok]))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], names=["a", "b", "sim"])
+
+    size = crowds.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    rows = crowds.join(size, "key").join(vectors.select("h", "embedding"), "h").withColumn("tile", F.pmod(F.xxhash64("h", F.lit(3)), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q"), "tile", "h", "embedding")
+    edges = rows.groupBy("key", "p", "q").applyInArrow(run, "a long, b long, sim double")
+    # dense ranks, since a pair may have met in several buckets
+    return edges.withColumn("rank", F.dense_rank().over(W.partitionBy("a").orderBy(F.desc("sim")))).filter(F.col("rank") <= k).drop("rank")
 
 
 def _chain(it, last):
@@ -205,10 +254,12 @@ def nearest(rows: DataFrame, k: int = 10, least: float = 0.85, id_col: str = "id
     members = stored(who.join(groups, ["g1", "g2"]).select("id", "h", "rep", "n").distinct())
     copies = members.filter("h <> rep").select("h")
     single = vectors.join(copies, "h", "left_anti")
-    pairs = stored(candidates(bucket_rows(single, rotations, dim, bits, tables), radius))
-    sims = _cosines(pairs, vectors, dim).filter(F.col("sim") >= least)
-    edges = sims.unionByName(sims.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim")).distinct()
-    edges = stored(edges)
+    met = stored(candidates(bucket_rows(single, rotations, dim, bits, tables), radius))
+    sims = _cosines(met.filter("NOT crowd").select("a", "b"), vectors, dim).filter(F.col("sim") >= least)
+    edges = sims.unionByName(sims.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    crowds = met.filter("crowd").select(F.col("a").alias("h"), F.col("b").alias("key"))
+    edges = edges.unionByName(crowd_edges(crowds, vectors, k, least, dim))
+    edges = stored(edges.groupBy("a", "b").agg(F.max("sim").alias("sim")))
 
     # every group by its first k + 1 ids: enough for any row to find k others in it
     first = members.withColumn("i", F.row_number().over(W.partitionBy("rep").orderBy("id"))).filter(F.col("i") <= k + 1)
