@@ -115,3 +115,27 @@ def test_crowd_of_several_tiles_equals_brute_force(spark, monkeypatch):
     name = {r["h"]: r["id"] for r in vectors.collect()}
     got = {(min(name[r["a"]], name[r["b"]]), max(name[r["a"]], name[r["b"]])) for r in e.collect()}
     assert got == brute(ids, v)
+
+
+def test_hit_probability_holds_at_every_size():
+    p = 1 - np.arccos(0.85) / np.pi
+    for n in (1, 500, 2_000, 240_000, 2_400_000, 10**8):
+        bits, tables = nb.plan(n, 0.85)
+        assert 1 - (1 - p**bits) ** tables >= 0.9 and n / 2**bits <= 2 * nb.BUCKET
+
+
+def test_recall_at_the_least_cosine(spark, monkeypatch):
+    """Pairs planted at cosines of 0.85 to 0.90, with substrings as long as for a collection 64 times as large."""
+    monkeypatch.setattr(nb, "BUCKET", 8, raising=False)
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(2500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=(2500, 64))
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    c = rng.uniform(0.8501, 0.90, (2500, 1))
+    v = np.concatenate([x, c * x + np.sqrt(1 - c * c) * y, rng.normal(size=(3000, 64))])
+    got = {tuple(r) for r in nb.found(frame(spark, v)).collect()}
+    recall = {b: np.mean([(f"{i:06d}", f"{2500 + i:06d}") in got for i in range(2500) if b <= c[i, 0] < b + 0.01]) for b in (0.85, 0.86, 0.87, 0.88, 0.89)}
+    print({b: round(float(r), 3) for b, r in recall.items()})
+    assert min(recall.values()) >= 0.97

@@ -2,10 +2,10 @@
 
 Method: several rotations are learned on a bounded sample (alternating between signs and the orthogonal map that best
 explains them), each giving one bit per dimension. The bits are cut into substrings and every vector is indexed once
-per substring; by the pigeonhole principle two codes that differ in fewer bits than there are substrings share one, so
-probing its own buckets retrieves every code within that Hamming radius, and most beyond it. Substrings grow with the
-logarithm of the collection, so buckets keep their size. Candidates are filtered by the Hamming distance of a 64-bit
-sketch inside the sorted buckets, made distinct, and reranked by the cosine of the floats.
+per substring. Substrings grow with the logarithm of the collection, so buckets keep their size; the number of
+substrings grows with their length, so that two vectors of the least cosine asked for share a bucket with the same
+probability at every size. The substrings are taken in rounds of bounded size. Candidates are filtered by the Hamming
+distance of a 128-bit sketch inside the sorted buckets, made distinct, and reranked by the cosine of the floats.
 
 Equal directions (copies, also scaled ones) are taken as one vector and stand for each other afterwards. Sketches cannot
 rank the rows of a dense group, so a bucket of more than HOT rows, or with more than KEEP close pairs a row, is searched
@@ -19,6 +19,7 @@ equal similarities are ranked by id; repeated ids count once; fewer than two vec
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +31,14 @@ from ..session import stored
 
 #: Vectors on which the rotations are learned (about so many, by hash of the id), and rounds of learning.
 SAMPLE, ROUNDS = 10_000, 12
-#: Substrings, i.e. indexed copies of each code.
-TABLES = 20
-#: Largest Hamming distance of two 64-bit sketches that is still reranked: cosine 0.85 differs in 11.3 +- 3.1 bits.
-RADIUS = 20
+#: Rows of a bucket on average, and the probability allowed that two vectors of the least cosine never share one.
+BUCKET, MISS = 512, 0.02
+#: Substrings, i.e. indexed copies of each code, that are shuffled at a time.
+ROUND = 12
+#: Bits of the sketch, and largest Hamming distance of two that is still reranked: cosine 0.85 differs in 22.6 +- 4.3 bits.
+SKETCH, RADIUS = 128, 36
 #: Rows of a bucket, and close pairs a row in it, above which it is searched by the floats; rows of a tile there.
-HOT, KEEP, TILE = 256, 48, 4096
+HOT, KEEP, TILE = 4096, 48, 4096
 #: Rows of a bucket up to which buckets are compared side by side, not one by one.
 SMALL = 32
 
@@ -84,42 +87,66 @@ def directions(vectors: DataFrame, dim: int) -> DataFrame:
     return vectors.mapInArrow(run, "id string, h long, g1 long, g2 long")
 
 
-def bucket_rows(vectors: DataFrame, rotations: np.ndarray, dim: int, bits: int, tables: int) -> DataFrame:
-    """(key, sketch, h): one row per vector and substring."""
+def plan(n: int, least: float) -> tuple[int, int]:
+    """(bits, tables) for n vectors: a bit of a random hyperplane differs with the angle's share of a half turn, and as many
+    substrings are taken as leave a pair of cosine `least` apart in all of them with a probability of MISS."""
+    bits = max(0, round(math.log2(max(n, 1) / BUCKET)))
+    share = (1 - math.acos(min(1.0, max(-1.0, least))) / math.pi) ** bits
+    return bits, 1 if share >= 1 else math.ceil(math.log(MISS) / math.log1p(-share))
+
+
+def codes(vectors: DataFrame, rotations: np.ndarray, dim: int) -> DataFrame:
+    """(h, code): all bits of each vector, packed."""
 
     def run(batches):
-        weights = 1 << np.arange(bits, dtype=np.int64)
         for b in batches:
-            x = _matrix(b.column("embedding"), dim)
-            code = (x @ rotations) > 0
-            sketch = np.packbits(code[:, :64] if dim >= 64 else np.pad(code, ((0, 0), (0, 64)))[:, :64], axis=1).view("<i8").ravel()
-            keys = code[:, : tables * bits].reshape(len(x), tables, bits).astype(np.int64) @ weights
+            packed = np.packbits((_matrix(b.column("embedding"), dim) @ rotations) > 0, axis=1)
+            flat = pa.py_buffer(np.ascontiguousarray(packed).tobytes())
+            ends = pa.py_buffer((np.arange(len(packed) + 1, dtype=np.int32) * packed.shape[1]).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("h"), pa.Array.from_buffers(pa.binary(), len(packed), [None, ends, flat])], names=["h", "code"])
+
+    return vectors.select("h", "embedding").mapInArrow(run, "h long, code binary")
+
+
+def bucket_rows(coded: DataFrame, width: int, bits: int, first: int, last: int) -> DataFrame:
+    """(key, s1, s2, h): one row per vector and substring from first to before last; codes are `width` bits long."""
+
+    def run(batches):
+        weights, tables, size = 1 << np.arange(bits, dtype=np.int64), last - first, -(-width // 8)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            packed = np.frombuffer(b"".join(b.column("code").to_pylist()), np.uint8).reshape(-1, size)
+            sketch = np.ascontiguousarray(packed[:, : SKETCH // 8]).view("<i8")
+            code = np.unpackbits(packed, axis=1)[:, first * bits : last * bits]
+            keys = code.reshape(len(packed), tables, bits).astype(np.int64) @ weights
             keys = (keys * tables + np.arange(tables)).ravel()
-            h = b.column("h").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(sketch, tables)), pa.array(np.repeat(h, tables))], names=["key", "sketch", "h"])
+            cols = [keys, *(np.repeat(c, tables) for c in (sketch[:, 0], sketch[:, 1], b.column("h").to_numpy()))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "s1", "s2", "h"])
 
-    return vectors.select("h", "embedding").mapInArrow(run, "key long, sketch long, h long")
+    return coded.mapInArrow(run, "key long, s1 long, s2 long, h long")
 
 
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count((a ^ b).view(np.uint64))
+def _distance(a: tuple, b: tuple) -> np.ndarray:
+    return sum(np.bitwise_count((x ^ y).view(np.uint64)) for x, y in zip(a, b))
 
 
-def _near_in_runs(key: np.ndarray, sketch: np.ndarray, h: np.ndarray, radius: int):
+def _near_in_runs(key: np.ndarray, sketch: tuple, h: np.ndarray, radius: int):
     """Pairs of rows with equal key (the rows are sorted by it) and close sketches: row i against row i + d."""
     for d in range(1, len(key)):
         i = np.flatnonzero(key[d:] == key[:-d])
         if not len(i):
             return
-        i = i[_distance(sketch[i], sketch[i + d]) <= radius]
+        i = i[_distance([s[i] for s in sketch], [s[i + d] for s in sketch]) <= radius]
         if len(i):
             yield h[i], h[i + d]
 
 
-def _near_in_block(sketch: np.ndarray, h: np.ndarray, radius: int, keep: int):
+def _near_in_block(sketch: np.ndarray | tuple, h: np.ndarray, radius: int, keep: int):
     """The rows within the radius of each row, block against block; all of them if keep is the number of rows."""
-    for a in range(0, len(h), 512):
-        dist = _distance(sketch[a : a + 512, None], sketch[None, :]).astype(np.uint8)
+    words = sketch if isinstance(sketch, tuple) else (sketch,)
+    for a in range(0, len(h), 128):
+        dist = _distance([s[a : a + 128, None] for s in words], [s[None, :] for s in words])
         dist[np.arange(dist.shape[0]), a + np.arange(dist.shape[0])] = 255
         if keep < len(h) - 1:
             dist[dist > np.partition(dist, keep - 1, axis=1)[:, keep - 1 : keep]] = 255
@@ -142,7 +169,7 @@ def candidates(buckets: DataFrame, radius: int = RADIUS, hot: int = HOT) -> Data
                 if ok.any():
                     yield emit(a[ok], b[ok], False)
 
-        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
+        rest: list[np.ndarray] = [np.zeros(0, np.int64)] * 4
         ended, crowd = object(), None
         for b in _chain(batches, ended):
             if b is not ended:
@@ -150,7 +177,7 @@ def candidates(buckets: DataFrame, radius: int = RADIUS, hot: int = HOT) -> Data
                 if crowd is not None:  # a bucket that was found large before its end
                     m = int(np.searchsorted(rest[0], crowd, "right"))
                     if m:
-                        yield emit(rest[2][:m], rest[0][:m], True)
+                        yield emit(rest[3][:m], rest[0][:m], True)
                     rest = [r[m:] for r in rest]
                 whole = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0
             else:
@@ -158,22 +185,22 @@ def candidates(buckets: DataFrame, radius: int = RADIUS, hot: int = HOT) -> Data
             now, rest = [r[:whole] for r in rest], [r[whole:] for r in rest]
             if len(rest[0]) > hot:
                 crowd = int(rest[0][0])
-                yield emit(rest[2], rest[0], True)
+                yield emit(rest[3], rest[0], True)
                 rest = [r[:0] for r in rest]
             if not whole:
                 continue
-            key, sketch, h = now
+            key, *sketch, h = now
             starts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
             sizes = np.diff(starts)
             large = sizes > SMALL
             for s, n in zip(starts[:-1][large], sizes[large]):
-                near = list(_near_in_block(sketch[s : s + n], h[s : s + n], radius, n)) if n <= hot else []
+                near = list(_near_in_block(tuple(w[s : s + n] for w in sketch), h[s : s + n], radius, n)) if n <= hot else []
                 if n > hot or sum(len(x) for x, _ in near) > 2 * KEEP * n:
                     yield emit(h[s : s + n], key[s : s + n], True)
                 else:
                     yield from pairs(near)
             fine = np.repeat(~large, sizes)
-            yield from pairs(_near_in_runs(key[fine], sketch[fine], h[fine], radius))
+            yield from pairs(_near_in_runs(key[fine], [w[fine] for w in sketch], h[fine], radius))
 
     return buckets.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long, crowd boolean").distinct()
 
@@ -239,25 +266,32 @@ def _cosines(pairs: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
     return j.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, sim double")
 
 
-def nearest(rows: DataFrame, k: int = 10, least: float = 0.85, id_col: str = "id", vec_col: str = "embedding", dim: int = 64, tables: int = TABLES, radius: int = RADIUS) -> DataFrame:
-    """(id, other, sim, rank): for every vector its at most k nearest with a cosine of at least `least`."""
+def nearest(rows: DataFrame, k: int = 10, least: float = 0.85, id_col: str = "id", vec_col: str = "embedding", dim: int = 64, tables: int | None = None, radius: int = RADIUS) -> DataFrame:
+    """(id, other, sim, rank): for every vector its at most k nearest with a cosine of at least `least`.
+    The number of tables follows from the number of rows and `least` unless it is given."""
     vectors = usable(rows, id_col, vec_col, dim)
     who = stored(directions(vectors, dim))
     n = who.count()
-    bits = max(8, round(math.log2(max(n, 2))) - 2)
+    bits, enough = plan(n, least)
+    tables = tables or enough
     # about SAMPLE rows by their hash: a plain filter, so no task returns more than its share
     limit = min(2**63 - 1, 2**64 * SAMPLE // max(n, 1) - 2**63)
     picked = vectors.filter(F.xxhash64("h", F.lit(5)) <= F.lit(limit)).select("h", "embedding").toPandas().sort_values("h")["embedding"]
-    rotations = learn_rotations(np.array([np.asarray(x, np.float64) for x in picked]).reshape(-1, dim), -(-max(tables * bits, 64) // dim))
+    rotations = learn_rotations(np.array([np.asarray(x, np.float64) for x in picked]).reshape(-1, dim), -(-max(tables * bits, SKETCH) // dim))
 
     groups = who.groupBy("g1", "g2").agg(F.min_by("h", "id").alias("rep"), F.count_distinct("id").alias("n")).filter("n > 1")
     members = stored(who.join(groups, ["g1", "g2"]).select("id", "h", "rep", "n").distinct())
     copies = members.filter("h <> rep").select("h")
     single = vectors.join(copies, "h", "left_anti")
-    met = stored(candidates(bucket_rows(single, rotations, dim, bits, tables), radius))
-    sims = _cosines(met.filter("NOT crowd").select("a", "b"), vectors, dim).filter(F.col("sim") >= least)
+    coded = stored(codes(single, rotations, dim))
+    rounds = []
+    for first in range(0, tables, ROUND):
+        met = stored(candidates(bucket_rows(coded, rotations.shape[1], bits, first, min(first + ROUND, tables)), radius))
+        rounds.append(met.withColumn("round", F.lit(first)))
+    met = reduce(DataFrame.unionByName, rounds)
+    sims = _cosines(met.filter("NOT crowd").select("a", "b").distinct(), vectors, dim).filter(F.col("sim") >= least)
     edges = sims.unionByName(sims.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    crowds = met.filter("crowd").select(F.col("a").alias("h"), F.col("b").alias("key"))
+    crowds = met.filter("crowd").select(F.col("a").alias("h"), (F.col("b") * tables + F.col("round")).alias("key"))
     edges = edges.unionByName(crowd_edges(crowds, vectors, k, least, dim))
     edges = stored(edges.groupBy("a", "b").agg(F.max("sim").alias("sim")))
 
