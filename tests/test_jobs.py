@@ -85,3 +85,36 @@ def test_relevance_screen(spark):
     pages = spark.createDataFrame([("s", "o", "u", "robots and sitemap", [one("n", "robots and sitemap")]), ("s", "o", "v", "robots robots", [one("n", "robots robots")])], f"source_id string, org string, url string, text string, rules {RULES}")
     assert {r["url"] for r in jobs.extracted_rules(pages, "robots|sitemap").collect()} == {"u"} and jobs.extracted_rules(pages).count() == 2
     assert "rules" in SCHEMAS
+
+
+def test_cycle_folds_accepted_rules_in(spark):
+    c = corpus(spark)
+    known = conform(spark.createDataFrame([("9", "k", "if", "retired", "https://x.example/", "unverified", None, lifecycle_key(spark, "k"))], "id string, name string, if_condition string, status string, source_url string, provenance_status string, then_logic string, rule_key string"), schema("rules"))
+    docs = conform(spark.createDataFrame([("4", "old", "https://x.example/other")], "id string, title string, source_url string"), schema("documents"))
+    reg = conform(spark.createDataFrame([("s", 1), ("t", 2), ("u", 3), ("z", 4)], "source_id string, consecutive_failures int"), schema("source_registry"))
+    obs = spark.createDataFrame([*OBS, ("t", "https://y.example/p", 200, "words that stand on a page", None, None)], "source_id string, url string, status int, text string, etag string, lastmod string")
+    answers = spark.createDataFrame(
+        [("https://x.example/new", "Org", [one("n", "a rule that is quoted"), one("m", "never said anywhere"), one("k", "a fresh page with")]), ("https://x.example/a", "Org", []), ("https://y.example/p", "Two", [one("n", "words that stand")])], f"url string, org string, rules {RULES}"
+    )
+    unread = spark.createDataFrame([("u", "timeout")], "source_id string, error string")
+    c = jobs.Corpus(c.rules.unionByName(known), c.url_state, c.changes, docs, reg)
+    after, log = jobs.cycle(c, obs, answers, now(), 7, unread=unread)
+    rules = {r["id"]: r for r in after.rules.collect()}
+    assert set(rules) == {"1", "2", "3", "9", "10"}
+    n, k = rules["10"], rules["9"]
+    assert (n["name"], n["status"], n["provenance_status"], n["source_url"], n["source_org"], n["document_id"], n["source_refs_json"]) == ("n", "active", "verified_excerpt", "https://x.example/new", "Org", "5", "[5]")
+    assert n["source_content_hash"] == h("a fresh page with a rule that is quoted here") and n["source_excerpt"] == "a rule that is quoted" and n["last_verified"] == datetime(2026, 1, 1)
+    assert (k["status"], k["provenance_status"], k["source_url"], k["then_logic"], k["document_id"]) == ("active", "verified_excerpt", "https://x.example/new", "then", "5")
+    assert {(r["id"], r["title"], r["source_url"]) for r in after.documents.collect()} == {("4", "old", "https://x.example/other"), ("5", "n", "https://x.example/new"), ("6", "n", "https://y.example/p")}
+    counts = {r["url"].rsplit("/", 1)[1]: (r["rules_new"], r["rules_refreshed"]) for r in log.collect()}
+    assert counts["new"] == (1, 1) and counts["p"] == (0, 1)
+    s = {r["source_id"]: (r["consecutive_failures"], r["last_error"], r["last_crawled_at"] is not None) for r in after.registry.collect()}
+    assert s == {"s": (2, "1 extraction failure(s)", False), "t": (0, None, True), "u": (4, "detect: timeout", False), "z": (4, None, False)}
+    again, _ = jobs.cycle(c, obs, answers, now(), 7, monitor=True)
+    assert {r["id"] for r in again.rules.collect()} == {"1", "2", "3", "9"} and again.documents.count() == 1
+
+
+def lifecycle_key(spark, name):
+    from tidemark.functions.text import rule_key
+
+    return spark.range(1).select(rule_key(F.lit(name), F.lit("if"))).first()[0]

@@ -199,7 +199,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if e["rule_key"] != key:
                 if state:
                     done.append({"rule_key": key, **state})
-                key, state = e["rule_key"], None
+                key, state = e["rule_key"], e.get("prior")
             state = fold_step(state, e)
         yield pa.RecordBatch.from_pylist(done, schema=schema)
         done = []
@@ -208,8 +208,34 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def upsert_fold(events: DataFrame) -> DataFrame:
-    """M-12: the state of every rule after its events in order (seq, tie). Keys are shuffled once and sorted inside the
+    """M-12: the state of every rule after its events in order (seq, tie), from the state `prior` if there is one. Keys are shuffled once and sorted inside the
     partitions, then folded as a stream, so a hot key needs time in proportion to its events but no memory."""
     order = ["rule_key", "seq"] + (["tie"] if "tie" in events.columns else [])
     cols = [c for c in events.columns]
     return events.select(cols).repartition("rule_key").sortWithinPartitions(*order).mapInArrow(_fold, STATE)
+
+
+def upsert_rules(rules: DataFrame, events: DataFrame, now: Column) -> DataFrame:
+    """M-12 on a snapshot: the rules after the events, which also carry name, if_condition, domain_tag, confidence_score and
+    source_org. Every row of a known rule_key goes on from its own state; a new key becomes a row with the next id (W-7)."""
+    from .lookups import numbered
+    from .rollups import max_numeric_id
+
+    at = {"proof": "provenance_status", "excerpt": "source_excerpt", "content_hash": "source_content_hash"}
+    cols = {c: at.get(c, c) for c in STATE_COLUMNS}
+    prior = F.struct(*[F.col(f"r.{c}").alias(s) for s, c in cols.items()], F.lit(0).cast("bigint").alias("n_events")).alias("prior")
+    known = events.alias("e").join(rules.alias("r"), F.col("e.rule_key") == F.col("r.rule_key"))
+    known = known.select(F.col("r.id").alias("rule_key"), *[F.col(f"e.{c}").alias(c) for c in events.columns if c != "rule_key"], prior)
+    after = upsert_fold(known).select(F.col("rule_key").alias("id"), F.struct(*cols).alias("_after"))
+    out = rules.join(after, "id", "left").withColumns({c: F.when(F.col("_after").isNotNull(), F.col(f"_after.{s}")).otherwise(F.col(c)) for s, c in cols.items()}).drop("_after")
+
+    fresh = events.join(rules.select("rule_key").distinct(), "rule_key", "left_anti")
+    given = ("name", "if_condition", "domain_tag", "confidence_score", "source_org")
+    first = fresh.groupBy("rule_key").agg(F.min_by(F.struct("document_id", "tie", *given), F.struct("seq", "tie")).alias("f"))
+    new = upsert_fold(fresh).select("rule_key", *[F.col(s).alias(c) for s, c in cols.items()]).join(first, "rule_key")
+    new = numbered(new, max_numeric_id(rules).first()[0], [F.col("f.tie"), F.col("rule_key")])
+    new = new.select(
+        F.col("new_id").cast("string").alias("id"), "rule_key", *cols.values(), *[F.col(f"f.{c}").alias(c) for c in given], F.lit("ingested").alias("rule_type"),
+        F.concat(F.lit("["), F.col("f.document_id"), F.lit("]")).alias("source_refs_json"), now.alias("created_at"), now.alias("extracted_at"),
+    ).withColumn("domain_tag", F.coalesce("domain_tag", F.lit("general")))
+    return out.unionByName(new, allowMissingColumns=True)

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.text import content_hash, relevance_hits, rule_key, strip
 from ..functions.urls import normalize_url
 from ..operators import gates, incremental, lifecycle
+from ..schemas import conform, schema
 from ..session import stored
+from ..sources import registry
 
 
 @dataclass(frozen=True)
@@ -20,6 +22,8 @@ class Corpus:
     rules: DataFrame
     url_state: DataFrame
     changes: DataFrame
+    documents: DataFrame | None = None
+    registry: DataFrame | None = None
 
 
 def extracted_rules(pages: DataFrame, relevance: str | None = None) -> DataFrame:
@@ -38,12 +42,15 @@ def page_outcomes(pages: DataFrame, verdicts: DataFrame) -> DataFrame:
     return j.withColumns({"extract_status": status, "rules_new": F.coalesce("rules_new", F.lit(0)), "rejected": F.coalesce("rejected", F.lit(0))})
 
 
-def cycle(corpus: Corpus, observations: DataFrame, answers: DataFrame, now: Column, run_id: int, monitor: bool = False) -> tuple[Corpus, DataFrame]:
+def cycle(corpus: Corpus, observations: DataFrame, answers: DataFrame, now: Column, run_id: int, monitor: bool = False, unread: DataFrame | None = None) -> tuple[Corpus, DataFrame]:
     """T-1: one batch of observations (source_id, url, status, text, etag, lastmod) and the answers (url, org, rules) for
     changed pages. Returns the next corpus and the log rows of the run.
 
     Removed pages retire their rules, changed ones reconcile theirs, unchanged ones renew stamps; new rules pass the
-    gate and are folded in; a page's state advances only if its change was consumed (T-2), in monitor mode never (T-8)."""
+    gate and are folded in (M-12) with the documents they come from (M-9), in monitor mode not; a page's state advances only
+    if its change was consumed (T-2), in monitor mode never (T-8). Sources without a failed page, and not among the unread
+    (source_id, error), count as crawled and healthy, the others lengthen their streak (T-10, T-11). Documents and the
+    registry are kept where the corpus has them; version markers are moved by the caller (T-4)."""
     obs = observations.withColumn("url", normalize_url(F.col("url"))).dropDuplicates(["url"])
     seen = stored(incremental.classify(obs, corpus.url_state))
     changed = seen.filter(F.col("change_type").isin("new", "modified"))
@@ -51,12 +58,14 @@ def cycle(corpus: Corpus, observations: DataFrame, answers: DataFrame, now: Colu
     still = seen.filter("change_type = 'unchanged'").select("url", F.coalesce("new_hash", "old_hash").alias("content_hash"))
 
     pages = changed.join(answers.select("url", "org", "rules"), "url", "left")
-    outcome = page_outcomes(pages, extracted_rules(pages)).withColumn("new_hash", content_hash(F.col("text")))
+    outcome = page_outcomes(pages, extracted_rules(pages)).withColumn("new_hash", content_hash(F.col("text"))).drop("rules_new")
+    events = stored(bridge_events(pages, now).filter(F.lit(not monitor)))
+    outcome = outcome.join(upsert_counts(events, corpus.rules), "url", "left").fillna(0, ["rules_new", "rules_refreshed"])
     prior = incremental.failures_by_version(corpus.changes, now)
-    done = stored(incremental.consume(outcome.select("source_id", "url", "change_type", "signal", "old_hash", "new_hash", "extract_status", "rules_new", "etag", "lastmod"), prior, monitor=monitor))
+    done = stored(incremental.consume(outcome.select("source_id", "url", "change_type", "signal", "old_hash", "new_hash", "extract_status", "rules_new", "rules_refreshed", "etag", "lastmod"), prior, monitor=monitor))
 
-    log = done.select(F.lit(run_id).cast("bigint").alias("run_id"), "source_id", "url", "change_type", "signal", "old_hash", "new_hash", now.alias("detected_at"), F.col("final_status").alias("extract_status"), F.col("rules_new").cast("int").alias("rules_new"))
-    left = seen.filter("change_type = 'removed'").select(F.lit(run_id).cast("bigint").alias("run_id"), "source_id", "url", "change_type", "signal", "old_hash", F.lit(None).cast("string").alias("new_hash"), now.alias("detected_at"), F.lit("retired").alias("extract_status"), F.lit(0).alias("rules_new"))
+    log = done.select(F.lit(run_id).cast("bigint").alias("run_id"), "source_id", "url", "change_type", "signal", "old_hash", "new_hash", now.alias("detected_at"), F.col("final_status").alias("extract_status"), F.col("rules_new").cast("int").alias("rules_new"), F.col("rules_refreshed").cast("int").alias("rules_refreshed"))
+    left = seen.filter("change_type = 'removed'").select(F.lit(run_id).cast("bigint").alias("run_id"), "source_id", "url", "change_type", "signal", "old_hash", F.lit(None).cast("string").alias("new_hash"), now.alias("detected_at"), F.lit("retired").alias("extract_status"), F.lit(0).alias("rules_new"), F.lit(0).alias("rules_refreshed"))
     log = log.unionByName(left)
 
     rules, state = lifecycle.retire_removed(corpus.rules, corpus.url_state, gone)
@@ -65,9 +74,47 @@ def cycle(corpus: Corpus, observations: DataFrame, answers: DataFrame, now: Colu
     rules = lifecycle.restamp(rules, still, corpus.changes, now).drop("stamped")
     if monitor:
         rules = lifecycle.mark_pending(rules, changed.select("url"))
+    documents = corpus.documents
+    if documents is not None:
+        documents = stored(page_documents(documents, events, now))
+        ids = documents.groupBy(F.col("source_url").alias("url")).agg(F.min("id").alias("document_id"))
+        events = events.drop("document_id").join(ids, "url", "left")
+    rules = stored(lifecycle.upsert_rules(conform(rules, schema("rules")), events, now))
     advance = done.filter("consumed").select("url", "source_id", "etag", F.col("lastmod").alias("last_modified"), F.col("new_hash").alias("content_hash"), now.alias("last_seen_at"))
     state = lifecycle.save_url_state(state, advance)
-    return replace(corpus, rules=rules, url_state=state, changes=corpus.changes.unionByName(log, allowMissingColumns=True)), log
+    sources = corpus.registry
+    if sources is not None:
+        sources = source_outcomes(sources, observations, done, unread, now, monitor)
+    return replace(corpus, rules=rules, url_state=state, documents=documents, registry=sources, changes=corpus.changes.unionByName(log, allowMissingColumns=True)), log
+
+
+def upsert_counts(events: DataFrame, rules: DataFrame) -> DataFrame:
+    """(url, rules_new, rules_refreshed): the first event of a rule_key that no rule has makes a rule, the others refresh."""
+    first = events.join(rules.select("rule_key").distinct(), "rule_key", "left_anti").groupBy("rule_key").agg(F.min("tie").alias("tie"))
+    j = events.select("url", "rule_key", "tie").join(first.withColumn("_new", F.lit(1)), ["rule_key", "tie"], "left")
+    return j.groupBy("url").agg(F.sum(F.coalesce("_new", F.lit(0))).alias("rules_new"), F.sum(1 - F.coalesce("_new", F.lit(0))).alias("rules_refreshed"))
+
+
+def page_documents(documents: DataFrame, events: DataFrame, now: Column) -> DataFrame:
+    """M-9 for the pages of the events: a document has the name of its page's first rule as title, and a new one its tag."""
+    first = events.groupBy("url").agg(F.min_by(F.struct("name", "domain_tag", "source_org"), "tie").alias("f"))
+    pages = first.select("url", F.left("f.name", F.lit(200)).alias("title"), "f.source_org", now.alias("at"))
+    tags = first.select(F.col("url").alias("source_url"), F.coalesce("f.domain_tag", F.lit("general")).alias("_tag"))
+    out = lifecycle.upsert_documents(conform(documents, schema("documents")).withColumn("_old", F.lit(True)), pages).join(tags, "source_url", "left")
+    fill = lambda c, v: F.when(F.col("_old"), F.col(c)).otherwise(v)
+    return out.withColumns({"source_type": fill("source_type", F.lit("ingest")), "domain_tag": fill("domain_tag", F.col("_tag"))}).drop("_old", "_tag")
+
+
+def source_outcomes(sources: DataFrame, observations: DataFrame, done: DataFrame, unread: DataFrame | None, now: Column, monitor: bool) -> DataFrame:
+    """M-2, M-4, T-10, T-11: a source that could not be read, or with a page whose extraction failed, lengthens its streak and
+    is not marked as crawled; any other observed one is healthy and crawled. A page given up is no failure any more."""
+    bad = done.filter(F.lit(not monitor) & (F.col("final_status") == "failed")).groupBy("source_id").agg(F.concat(F.count(F.lit(1)).cast("string"), F.lit(" extraction failure(s)")).alias("error"))
+    if unread is not None:
+        lost = unread.groupBy("source_id").agg(F.concat(F.lit("detect: "), F.coalesce(F.min("error"), F.lit(""))).alias("error"))
+        bad = lost.unionByName(bad.join(lost, "source_id", "left_anti"))
+    seen = observations.select("source_id").union(bad.select("source_id")).filter("source_id IS NOT NULL").distinct()
+    out = stored(seen.join(bad, "source_id", "left").select("source_id", now.alias("at"), F.col("error").isNull().alias("ok"), "error"))
+    return registry.mark_crawled(lifecycle.source_health(sources, out), out.filter("ok").select("source_id", F.lit(None).cast("string").alias("marker")), now)
 
 
 def bridge_events(pages: DataFrame, now: Column) -> DataFrame:
@@ -78,6 +125,7 @@ def bridge_events(pages: DataFrame, now: Column) -> DataFrame:
         rule_key(F.col("name"), F.col("if_condition")).alias("rule_key"), F.lit(0).cast("bigint").alias("seq"), "url", F.lit(None).cast("string").alias("document_id"), F.col("new_status").alias("status"),
         F.nullif("excerpt", F.lit("")).alias("excerpt"), content_hash(F.col("text")).alias("content_hash"), F.lit(None).cast("string").alias("custom_provenance"), "then_logic", now.alias("at"),
         F.concat_ws("/", "url", F.lpad(F.col("ordinal").cast("string"), 6, "0")).alias("tie"),
+        "name", "if_condition", "domain_tag", "confidence_score", F.col("org").alias("source_org"),
     )
 
 
