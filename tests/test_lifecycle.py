@@ -152,3 +152,11 @@ def test_numbered_is_consecutive(spark):
     df = spark.createDataFrame([(i * 7919 % 1000,) for i in range(1000)], "k int").repartition(5)
     got = [tuple(x) for x in lookups.numbered(df, 50, [F.col("k")]).orderBy("k").collect()]
     assert got == [(i, 51 + i) for i in range(1000)]
+
+
+def test_undeprecate_takes_a_table_of_keys(spark):
+    rules = spark.range(3000).selectExpr("cast(id AS string) AS id", "if(id % 3 = 0, NULL, concat('k', id)) AS rule_key", "if(id % 2 = 0, 'deprecated', 'retired') AS status", "timestamp'2025-01-01' AS last_verified")
+    keys = rules.filter("status = 'deprecated'").selectExpr("coalesce(rule_key, id) AS key")
+    un = lc.undeprecate(rules, keys.unionByName(keys).unionByName(spark.createDataFrame([(None,), ("1",)], "key string")), now())
+    assert un.columns.count("changed") == 1 and set(un.columns) == {"id", "rule_key", "status", "last_verified", "changed"}
+    assert un.count() == 3000 and un.filter("changed").count() == un.filter("status = 'active'").count() == 1500 and un.filter("status = 'deprecated'").count() == 0

@@ -121,10 +121,18 @@ def mark_pending(rules: DataFrame, changed: DataFrame) -> DataFrame:
     return rules.join(c, "source_url", "left").withColumn("provenance_status", F.when(hit, "source_change_pending").otherwise(F.col("provenance_status"))).drop("_hit")
 
 
-def undeprecate(rules: DataFrame, keys: list[str], now: Column) -> DataFrame:
-    """M-17: lifts the latch of deprecated rules given by id or rule_key; adds `changed`."""
-    hit = (F.col("id").isin(*keys) | F.coalesce(F.col("rule_key").isin(*keys), F.lit(False))) & F.col("status").eqNullSafe("deprecated")
-    return rules.withColumns({"changed": hit, "status": F.when(hit, "active").otherwise(F.col("status")), "last_verified": F.when(hit, now).otherwise(F.col("last_verified"))})
+def undeprecate(rules: DataFrame, keys: list[str] | DataFrame, now: Column) -> DataFrame:
+    """M-17: lifts the latch of deprecated rules given by id or rule_key, in a list or the first column of a table of any
+    size; adds `changed`."""
+    if isinstance(keys, DataFrame):
+        k = keys.select(F.col(keys.columns[0]).alias("_key")).filter("_key IS NOT NULL").distinct()
+        for c, flag in (("id", "_by_id"), ("rule_key", "_by_key")):
+            rules = rules.join(k.select(F.col("_key").alias(c), F.lit(True).alias(flag)), c, "left")
+        named = F.coalesce("_by_id", "_by_key", F.lit(False))
+    else:
+        named = F.col("id").isin(*keys) | F.coalesce(F.col("rule_key").isin(*keys), F.lit(False))
+    hit = named & F.col("status").eqNullSafe("deprecated")
+    return rules.withColumns({"changed": hit, "status": F.when(hit, "active").otherwise(F.col("status")), "last_verified": F.when(hit, now).otherwise(F.col("last_verified"))}).drop("_by_id", "_by_key")
 
 
 def upsert_documents(documents: DataFrame, pages: DataFrame) -> DataFrame:

@@ -410,7 +410,14 @@ def upsert_fold(s, d):
 
 def undeprecate(s, d):
     r = table(s, d, "rules").select("id", "rule_key", "status", "last_verified")
-    keys = [x[0] for x in r.filter("status = 'deprecated' AND rule_key IS NOT NULL").select("rule_key").distinct().orderBy("rule_key").limit(5).collect()]
+    keys = r.filter("status = 'deprecated' AND rule_key IS NOT NULL").select("rule_key").distinct().orderBy("rule_key").limit(5)
+    return lifecycle.undeprecate(r, keys, now()).filter("changed").select("id", "status")
+
+
+def undeprecate_all(s, d):
+    """M-17 over all deprecated rules, by rule_key, or by id where they have none."""
+    r = table(s, d, "rules").select("id", "rule_key", "status", "last_verified")
+    keys = r.filter("status = 'deprecated'").select(F.coalesce("rule_key", "id").alias("key"))
     return lifecycle.undeprecate(r, keys, now()).filter("changed").select("id", "status")
 
 
@@ -483,6 +490,6 @@ QUERIES = {
         run_summary, source_ledger, canon_probe, neighbor_adopt, alias_normalize, org_normalize_pipeline, evidence_cutoff, latest_change_per_url, pending_retries,
         failure_backstop, failure_streak, capped_changes, consume, marker_moves, rotation_window, probe_budget, preflight, next_cursor, sitemap_parse, seed_url_list, adapter_dispatch,
         harvest, reconcile_excerpts, quality_gate, reverify_stamp, retire_removed, state_after_removal, mark_pending, url_state_rekey, url_state_upsert, source_upsert,
-        source_health_fold, upsert_fold, undeprecate, stale_runs, run_detail, embedding_queue, document_upsert, observe_gate, snapshot_delta, event_windows, numbered_rules,
+        source_health_fold, upsert_fold, undeprecate, undeprecate_all, stale_runs, run_detail, embedding_queue, document_upsert, observe_gate, snapshot_delta, event_windows, numbered_rules,
     )
 }

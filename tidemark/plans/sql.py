@@ -264,6 +264,7 @@ f AS (
     FROM f JOIN p ON p.k = f.k AND p.i = f.i + 1))
 SELECT k AS rule_key, url AS source_url, prov AS url_provenance, st AS status, proof, h AS content_hash, {text('t')} AS last_verified, i AS n_events FROM f QUALIFY row_number() OVER (PARTITION BY k ORDER BY i DESC) = 1""",
     "undeprecate": "SELECT id, 'active' AS status FROM rules WHERE status = 'deprecated' AND rule_key IN (SELECT DISTINCT rule_key FROM rules WHERE status = 'deprecated' AND rule_key IS NOT NULL ORDER BY rule_key LIMIT 5)",
+    "undeprecate_all": "SELECT id, 'active' AS status FROM rules WHERE status = 'deprecated' AND id IS NOT NULL",
     "stale_runs": f"""WITH s AS (SELECT *, coalesce(status = 'running' AND {utc('started_at')} < {NOW} - INTERVAL 2 HOUR, false) AS late FROM ingest_runs)
 SELECT run_id, CASE WHEN late THEN 'aborted' ELSE status END AS status, CASE WHEN late THEN '2026-01-01 00:00:00' ELSE {text('finished_at')} END AS finished_at FROM s""",
     "run_detail": "SELECT run_id, json_extract_string(detail, '$.sources[0].status') AS first_status, json_extract_string(detail, '$.host_no') AS host_no FROM ingest_runs",
