@@ -42,3 +42,15 @@ def test_failure_state(spark, tmp_path):
     replay.replay_to_folder(s, f"{tmp_path}/out", f"{tmp_path}/offsets", mode="update")
     got = {r["source_id"]: r["failures"] for r in spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/out").orderBy(F.col("failures")).collect()}
     assert got == {"a": 1, "b": 2}
+
+
+def test_open_windows_complete_a_bounded_replay(spark, tmp_path):
+    rows = [(T0 + timedelta(hours=i), ("a", "b", None)[i % 3], float(i)) for i in range(100)] + [(None, "a", 1.0)]
+    spark.createDataFrame(rows, "ts timestamp, event_type string, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    events = spark.read.parquet(f"{tmp_path}/events.parquet")
+    replay.replay_to_folder(replay.windowed_counts(replay.stream_table(spark, str(tmp_path), "events", events.schema)), f"{tmp_path}/out", f"{tmp_path}/offsets")
+    emitted = spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/out")
+    rest = replay.open_windows(events, emitted)
+    assert {r["window_start"] for r in rest.collect()} == {T0 + timedelta(days=4)}
+    whole = sorted(map(str, replay.windowed_counts(events).collect()))
+    assert sorted(map(str, emitted.unionByName(rest).collect())) == whole and len(whole) == 15

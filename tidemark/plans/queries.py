@@ -459,8 +459,8 @@ def snapshot_delta(s, d):
 
 
 def event_windows(s, d):
-    """Structured Streaming: daily counts per event type with a watermark, replayed as available micro-batches. Windows
-    the watermark has not passed at the end of the log stay open."""
+    """Structured Streaming: daily counts per event type with a watermark, replayed as available micro-batches. The
+    log is bounded, so the windows the watermark has not passed at its end are flushed."""
     import tempfile
     import uuid
 
@@ -469,8 +469,10 @@ def event_windows(s, d):
     base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-stream-")
     root = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
     events = replay.stream_table(s, d, "events", table(s, d, "events").schema)
-    replay.replay_to_folder(replay.windowed_counts(events.withColumn("ts", F.col("ts").cast("timestamp"))), f"{root}/out", f"{root}/offsets")
+    at = F.col("ts").cast("timestamp")
+    replay.replay_to_folder(replay.windowed_counts(events.withColumn("ts", at)), f"{root}/out", f"{root}/offsets")
     got = s.read.schema("window_start timestamp, event_type string, n bigint, total double").option("recursiveFileLookup", "true").parquet(f"{root}/out")
+    got = got.unionByName(replay.open_windows(table(s, d, "events").withColumn("ts", at), got))
     return got.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n", "total")
 
 

@@ -279,5 +279,6 @@ r AS (SELECT *, CASE WHEN coalesce(trim(name), '') = '' OR coalesce(trim(i), '')
 SELECT source_org, reject_reason, CASE WHEN reject_reason IS NULL THEN round(least(0.84::DOUBLE, 0.5::DOUBLE + 0.4::DOUBLE * n / m), 2) END AS confidence, CASE WHEN lower(tag) IN ('seo', 'aeo', 'geo', 'entity', 'content', 'performance', 'general') THEN lower(tag) ELSE 'general' END AS tag FROM r""",
     "snapshot_delta": """WITH c AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL)
 SELECT day, event_type, n, lag(n) OVER w AS previous, n - lag(n) OVER w AS delta FROM c WINDOW w AS (PARTITION BY event_type ORDER BY day)""",
+    "event_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events WHERE ts IS NOT NULL GROUP BY ALL",
     "numbered_rules": "SELECT id, (SELECT max(id::BIGINT) FROM rules) + row_number() OVER (ORDER BY created_at, id) AS new_id FROM rules",
 }

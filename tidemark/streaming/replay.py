@@ -25,6 +25,16 @@ def windowed_counts(events: DataFrame, at: str = "ts", keys: tuple[str, ...] = (
     )
 
 
+def open_windows(events: DataFrame, emitted: DataFrame, keys: tuple[str, ...] = ("event_type",), **how: str) -> DataFrame:
+    """At the end of a bounded log: the windows of windowed_counts over all its events (as a batch) that a replay did not
+    emit, since the watermark has not passed them."""
+    done = emitted.select("window_start", *keys).alias("d")
+    same = F.lit(True)
+    for c in ("window_start", *keys):
+        same = same & F.col(f"w.{c}").eqNullSafe(F.col(f"d.{c}"))
+    return windowed_counts(events, keys=keys, **how).alias("w").join(done, same, "left_anti")
+
+
 def first_versions(changes: DataFrame, late: str = "7 days") -> DataFrame:
     """The first row of each (url, new_hash) within the watermark."""
     return changes.withWatermark("detected_at", late).dropDuplicatesWithinWatermark(["url", "new_hash"])
