@@ -115,7 +115,7 @@ def test_embed_texts(spark):
 @pytest.mark.parametrize(
     "raw,names",
     [('[{"name":"a"},{"name":"b"}]', ["a", "b"]), ('Sure: [{"name":"a"},{"name":"b"', ["a"]), ('[{"name":"]}"}] and [more]', ["]}"]), ("nothing", None), ("[1, 2]", None), ("[", None), ("[]", []),
-     ('[{"name":"a"}, {"name":"x', ["a"]), (None, None)],
+     ('[{"name":"a"}, {"name":"x', ["a"]), (None, None), ('[{"name":"a"},{"name":"b","more":{"c":1}', None), ('[see] [{"name":"a"}]', None), ('{"a":1}', None)],
 )
 def test_salvage(raw, names):
     got = salvage(raw)

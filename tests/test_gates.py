@@ -44,6 +44,10 @@ def test_observation_gate(spark):
     rows = [ok, ("blank", " ", *ok[2:]), ("rare", *ok[1:5], ("6", "10", "3")), ("few", *ok[1:5], ("8", "10", None)), ("more", *ok[1:5], ("11", "10", "3")), ("zero", *ok[1:5], ("0", "0", "3")), ("word", *ok[1:5], ("x", "10", "3")), ("null", *ok[1:5], None), ("tag", *ok[1:4], None, ("10", "10", "4"))]
     got = {r["id"]: r for r in gates.observation_gate(spark.createDataFrame(rows, t)).collect()}
     assert {k: v["reject_reason"] for k, v in got.items()} == {"ok": None, "blank": "missing text", "rare": "rare", "few": "few sessions", "more": "implausible prevalence", "zero": "implausible prevalence", "word": "invalid prevalence", "null": "invalid prevalence", "tag": None}
+    odd = [(x, *ok[1:5], (x, "10", "3")) for x in ("nan", "inf", "1e30", "9.7", "9" * 40, " 9 ", "+9", "")]
+    assert {r["id"]: r["reject_reason"] for r in gates.observation_gate(spark.createDataFrame(odd, t)).collect()} == {"nan": "invalid prevalence", "inf": "invalid prevalence", "1e30": "invalid prevalence", "9.7": "invalid prevalence", "9" * 40: "invalid prevalence", "": "invalid prevalence", " 9 ": None, "+9": None}
+    numbers = [("whole", *ok[1:5], (9.7, 10.0, 3.0)), ("nan", *ok[1:5], (float("nan"), 10.0, 3.0)), ("huge", *ok[1:5], (1e30, 1e31, 3.0))]
+    assert {r["id"]: r["reject_reason"] for r in gates.observation_gate(spark.createDataFrame(numbers, t.replace(":string", ":double"))).collect()} == {"whole": None, "nan": "invalid prevalence", "huge": "invalid prevalence"}
     assert got["ok"]["confidence"] == 0.82 and got["tag"]["confidence"] == 0.84 and got["ok"]["tag"] == "seo" and got["tag"]["tag"] == "general"
 
 
@@ -60,6 +64,8 @@ def test_citable_and_trusted(spark):
 def test_locale_and_claims(spark):
     df = spark.createDataFrame([("https://a.example/x?hl=de",), ("https://a.example/x?hl=en-US",), ("https://a.example/ja/x",), ("https://a.example/docs/ja/x",), (None,)], "u string")
     assert [r[0] for r in df.select(gates.locale_variant(F.col("u"))).collect()] == [True, False, True, False, False]
+    more = spark.createDataFrame([("https://developer.mozilla.org/en-US/docs/x",), ("https://developer.mozilla.org/fr/docs/x",), ("https://developer.mozilla.org/pt-BR/docs",), ("https://developer.mozilla.org/blog/x",)], "u string")
+    assert [r[0] for r in more.select(gates.locale_variant(F.col("u"))).collect()] == [False, True, True, False]
     d = spark.createDataFrame([("FAQ rich results help",), ("FAQ rich results are restricted to some",), (None,)], "t string")
     assert [r[0] for r in d.select(gates.deprecated_claim(F.col("t"))).collect()] == [True, False, False]
 

@@ -116,6 +116,8 @@ E = dict(rule_key="k", seq=1, url="https://x.example/a", document_id="d", status
         ({}, {"content_hash": "h2", "at": NOW}, {"content_hash": "h2", "last_verified": NOW}),
         ({}, {"url": "https://y.example/z", "content_hash": "h2", "at": NOW}, {"content_hash": "h", "last_verified": T0}),
         ({"then_logic": " "}, {"then_logic": "new"}, {"then_logic": "new"}),
+        ({"source_url": None}, {"url": None, "content_hash": "h2", "at": NOW}, {"content_hash": "h", "last_verified": T0}),
+        ({"source_url": None}, {"url": "", "content_hash": "h2", "at": NOW}, {"content_hash": "h2", "last_verified": NOW}),
         ({"source_url": None, "proof": "source_changed", "status": "superseded"}, {}, {"source_url": "https://x.example/a", "proof": "verified_excerpt", "status": "active"}),
     ],
 )
@@ -141,6 +143,33 @@ def test_fold_of_a_stream_equals_steps(spark):
     assert lc.upsert_fold(spark.createDataFrame([], lc.EVENT)).count() == 0
 
 
+def test_fold_by_columns_equals_steps(spark):
+    rng = random.Random(5)
+    pick = lambda: {"url": rng.choice([None, "", "https://x.example/a", "https://x.example/a/b", "https://y.example/c/"]), "status": rng.choice(["active", "deprecated", "candidate", None]), "excerpt": rng.choice([None, "", "ex"]), "content_hash": rng.choice([None, "h1"]), "custom_provenance": rng.choice([None, "", "{}"]), "then_logic": rng.choice([None, "", " \u2003", "t"]), "at": T0 + timedelta(hours=rng.randrange(99))}
+    events, model = [], {}
+    for i in range(900):
+        e = {**E, **pick(), "rule_key": f"k{i:04d}"}
+        prior = None
+        if rng.random() < 0.7:
+            prior = lc.fold_step(None, {**E, **pick()})
+            prior["source_url"] = rng.choice([None, prior["source_url"]])
+            prior["proof"] = rng.choice([None, "source_changed", prior["proof"]])
+        model[e["rule_key"]] = lc.fold_step(prior, e)
+        events.append({**e, "prior": prior})
+    state = ", ".join(f"{c}: {'timestamp' if c == 'last_verified' else 'string'}" for c in lc.STATE_COLUMNS)
+    df = spark.createDataFrame(events, f"{lc.EVENT}, prior struct<{state}, n_events: bigint>")
+    got = {x["rule_key"]: {k: x[k] for k in [*lc.STATE_COLUMNS, "n_events"]} for x in lc.upsert_fold(df).collect()}
+    assert got == model
+
+
+def test_runs_open_and_finish(spark):
+    none = spark.createDataFrame([], "run_id bigint, status string, started_at timestamp, finished_at timestamp, detail string, urls_changed int, extra string")
+    one = lc.open_run(none, now())
+    assert [(x["run_id"], x["status"]) for x in one.collect()] == [(1, "running")]
+    two = lc.open_run(lc.finish_run(one, spark.createDataFrame([(1, "done", "{}", 5)], "run_id int, status string, detail string, urls_changed long"), now()), now())
+    assert {x["run_id"]: (x["status"], x["finished_at"], x["urls_changed"]) for x in two.collect()} == {1: ("done", NOW, 5), 2: ("running", None, None)} and two.columns == none.columns
+
+
 def test_documents(spark):
     docs = spark.createDataFrame([("9000", "old", "u", "o"), ("x1", "y", "v", "o")], "id string, title string, source_url string, source_org string")
     pages = spark.createDataFrame([("u", "new", "o", 2), ("u", "newer", "o", 3), ("b", "B", "o", 2), ("a", "A", "o", 1), ("", "E", "o", 5)], "url string, title string, source_org string, at int")

@@ -3,6 +3,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import incremental
 from tidemark.schemas import conform, missing_columns, schema
 from tidemark.sources import files, registry, web
 
@@ -113,4 +114,49 @@ def test_registry(spark):
     assert registry.add_source(reg, {"source_id": "z"}).count() == 2
     with pytest.raises(ValueError):
         registry.add_source(reg, {"source_id": "a"})
-    assert registry.valid_pattern("^/(a|b)/") and registry.valid_pattern("(") is None and registry.valid_pattern(None) is None
+
+
+def test_unusable_patterns_filter_nothing(spark):
+    rows = [("a", "^/(a|b)/"), ("b", "("), ("c", None), ("d", ""), ("e", "(?P<x>a)"), ("f", "[")]
+    reg = spark.createDataFrame(rows, "source_id string, url_filter string")
+    good = registry.url_filters(reg)
+    assert {r[0]: r[1] for r in good.collect()} == {"a": "^/(a|b)/", "b": None, "c": None, "d": None, "e": None, "f": None}
+    pages = reg.select("source_id", F.lit("https://x.example/c/1").alias("loc"), F.lit(0).alias("turn"), F.lit(None).cast("string").alias("lastmod"))
+    none = spark.createDataFrame([], "url string, last_modified string, source_id string")
+    got = incremental.walk(pages, none, none.select("source_id", "url"), filters=reg)
+    assert {r["source_id"] for r in got.collect()} == {"b", "c", "d", "e", "f"}
+    assert {r["source_id"]: r["filter"] for r in incremental.preflight(pages, reg, none).collect()} == {"a": 1, "b": 0, "c": 0, "d": 0, "e": 0, "f": 0}
+
+
+def test_cursors_and_orders(spark):
+    reg = conform(spark.createDataFrame([("a", 2, '{"offset":20}', "url_list", True), ("b", 1, '{"child":3}', "sitemap", True), ("c", 1, "x", "url_list", True), ("d", None, None, "url_list", False)], "source_id string, tier smallint, crawl_cursor string, adapter_type string, enabled boolean"), schema("source_registry"))
+    assert {r[0]: (r[1], r[2]) for r in registry.cursors(reg).collect()} == {"a": (20, None), "b": (None, 3), "c": (None, None), "d": (None, None)}
+    moved = spark.createDataFrame([("a", 40, None), ("b", None, 0)], "source_id string, offset int, child int")
+    assert {r["source_id"]: (r["offset"], r["child"]) for r in registry.cursors(registry.save_cursors(reg, moved)).collect()} == {"a": (40, None), "b": (None, 0), "c": (None, None), "d": (None, None)}
+    assert [r["source_id"] for r in registry.ordered(reg).orderBy("turn").collect()] == ["b", "c", "a", "d"]
+    assert [r["source_id"] for r in registry.ordered(reg, "url_list").orderBy("turn").collect()] == ["c", "a"]
+
+
+def test_listing_of_an_index_goes_round_by_whole_files(spark):
+    kids = INDEX % "".join(f"<sitemap><loc>https://x.example/c{c}.xml</loc></sitemap>" for c in range(4))
+    rows = [("s", "https://x.example/sitemap.xml", None, kids)] + [("s", f"https://x.example/c{c}.xml", "i", urls(200, c)) for c in (0, 1, 2)] + [("p", "https://y.example/sitemap.xml", None, urls(5)), ("z", "https://z.example/sitemap.xml", None, "no xml")]
+    files_ = spark.createDataFrame(rows, "source_id string, url string, parent string, xml string")
+    cur = spark.createDataFrame([("s", None, 2), ("p", 3, None)], "source_id string, offset int, child int")
+    got = {(r["source_id"], r["turn"]): r["loc"] for r in incremental.listing(files_, cur).collect()}
+    assert len(got) == 405 and "/c2/page0" in got["s", 0] and "/c0/page0" in got["s", 200] and "/c0/page199" in got["s", 399]
+    assert [got["p", i].split("page")[1][0] for i in range(5)] == list("34012")
+    sizes = {r["source_id"]: r for r in incremental.next_cursor(incremental.cursor_sizes(files_, cur)).collect()}
+    assert (sizes["s"]["child"], sizes["s"]["offset"], sizes["p"]["offset"], sizes["z"]["offset"]) == (3, None, 3, 0)
+
+
+def test_targets_and_text_on_demand(spark):
+    reg = conform(spark.createDataFrame([("s", "sitemap", None, None, True), ("l", "url_list", "https://l.example/1,https://l.example/2", None, True), ("r", "github_release", None, "https://r.example", True), ("o", "changelog", None, "https://o.example", False), ("x", "rss", None, None, True)], "source_id string, adapter_type string, seed_urls string, root_url string, enabled boolean"), schema("source_registry"))
+    walked = spark.createDataFrame([("s", "https://s.example/a", 0, "probe"), ("s", "https://s.example/b", -1, "retry"), ("s", "https://s.example/c", 1, "unchanged"), ("x", "https://x.example/", 0, "probe")], "source_id string, loc string, turn long, action string")
+    got = {(r["source_id"], r["at"]): (r["adapter"], r["url"]) for r in web.targets(reg, walked).collect()}
+    assert got == {("s", 1): ("sitemap", "https://s.example/b"), ("s", 2): ("sitemap", "https://s.example/a"), ("l", 1): ("url_list", "https://l.example/1"), ("l", 2): ("url_list", "https://l.example/2"), ("r", 1): ("github_release", "https://r.example"), ("x", 1): ("sitemap", "https://x.example/")}
+    changes = spark.createDataFrame([("u", None), ("v", "t"), ("w", ""), ("n", None)], "url string, text string")
+    answers = spark.createDataFrame([("u", 200, "<p>a</p>"), ("u", 200, "<p>b</p>"), ("v", 200, "<p>c</p>"), ("w", 500, "<p>d</p>")], "url string, status int, body string")
+    assert {r["url"]: r["text"] for r in web.fill_text(changes, answers).collect()} == {"u": "a", "v": "t", "w": "", "n": ""}
+    state = spark.createDataFrame([("https://a.example/x", "e", ""), ("https://a.example/y", None, "m")], "url string, etag string, last_modified string")
+    pages = spark.createDataFrame([("s", "https://a.example/x"), ("s", "https://a.example/y"), ("s", "https://a.example/z"), ("s", "https://a.example/de/z"), ("s", None)], "source_id string, url string")
+    assert {r["url"][-1]: (r["if_none_match"], r["if_modified_since"]) for r in incremental.requests(pages, state).collect()} == {"x": ("e", None), "y": (None, "m"), "z": (None, None)}

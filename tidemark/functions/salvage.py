@@ -9,32 +9,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SPACE = " \t\r\n"
-
 
 def salvage(raw: str | None) -> list[dict] | None:
-    """The objects of the first array in raw. Whole arrays come back as they are; of one that is cut off, the objects
-    before the cut do. None if there is no array, none of its objects is complete, or it holds anything but objects."""
-    decode = json.JSONDecoder().raw_decode
-    start = (raw or "").find("[")
+    """F-10, F-11: the objects of the array that begins at the first bracket of raw. A whole array comes back as it is,
+    whatever follows it; one that cannot be read ends after the last brace of raw. None if there is no array, if it still
+    cannot be read (a cut inside a nested object, for instance), or if it holds anything but objects."""
+    raw = raw or ""
+    start = raw.find("[")
     if start < 0:
         return None
     try:
-        whole, _ = decode(raw, start)
-        return whole if all(isinstance(x, dict) for x in whole) else None
+        got = json.JSONDecoder().raw_decode(raw, start)[0]
     except ValueError:
-        pass
-    out, at = [], start + 1
-    while True:
-        while at < len(raw) and raw[at] in _SPACE + ",":
-            at += 1
         try:
-            x, at = decode(raw, at)
+            got = json.loads(raw[start : raw.rfind("}") + 1] + "]")
         except ValueError:
-            return out or None
-        if not isinstance(x, dict):
             return None
-        out.append(x)
+    return got if isinstance(got, list) and all(isinstance(x, dict) for x in got) else None
 
 
 @F.pandas_udf(T.StringType())

@@ -30,10 +30,16 @@ def rule_key(name: Column, if_condition: Column) -> Column:
     return F.concat(F.lit("rk_"), F.left(F.sha2(F.concat(part(name), F.lit("|"), part(if_condition)), 256), F.lit(20)))
 
 
+# Fixed value: what sets a site's name off from the title of a page.
+TITLE_SUFFIX = r"\s*[|–—-]\s{0,2}(?=[A-Z])"
+# The tags an observation may have.
+TAGS = ("seo", "aeo", "geo", "entity", "content", "performance", "general")
+
+
 def page_title(html: Column) -> Column:
     """F-5: the first <title>, squeezed, cut before the site suffix, at most 200 characters; '' for null."""
     whole = squeeze(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
-    head = F.split(whole, r"\s*[|–—-]\s{0,2}(?=[A-Z])")[0]
+    head = F.split(whole, TITLE_SUFFIX)[0]
     return F.left(F.when(head != "", head).otherwise(whole), F.lit(200))
 
 
@@ -54,7 +60,16 @@ def chunks(c: Column, size: int = 12000, least: int = 6000) -> Column:
     return F.when(F.length(c) <= size, F.array(c)).when(F.length(c) > size, two)
 
 
-def relevance_hits(c: Column, pattern: str) -> Column:
+# Terms that show that a page speaks of how sites are found.
+RELEVANCE = (
+    r"seo\b|search engine|search ranking|google search|googlebot|bingbot|crawl|index(?:ing|ation)|structured data|schema\.org|json-ld|sitemap|robots\.txt"
+    r"|meta description|title tag|\bsnippets?\b|canonical|core web vitals|page experience|\blcp\b|\binp\b|\bcls\b|page ?speed|lighthouse|mobile-friendly"
+    r"|ranking|\bserp\b|redirects?\b|rich results?|alt (?:text|attribute)|open graph|\bog:|answer engine|ai overview|featured snippet"
+    r"|knowledge (?:graph|panel)|llms?\.txt|gptbot|ai crawler|citation|e-?e-?a-?t|hreflang|backlink"
+)
+
+
+def relevance_hits(c: Column, pattern: str = RELEVANCE) -> Column:
     """P-10: number of distinct lower-cased matches of pattern (one capturing group is not needed)."""
     found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?i){pattern}"), F.lit(0))
     return F.size(F.array_distinct(F.transform(found, F.lower)))
@@ -66,6 +81,11 @@ def rule_status(c: Column) -> Column:
     return F.when(said.isin("deprecated", "retired", "sunset"), "deprecated").otherwise("active")
 
 
+def refs(document_id: Column) -> Column:
+    """F-22: the reference list of a rule, a JSON list of its document's id; null for none."""
+    return F.concat(F.lit("["), document_id, F.lit("]"))
+
+
 def embed_text_batch(*cols: Column) -> Column:
     """F-15: parts joined by single spaces, empty slots kept, 6000 characters, stripped, ' ' if nothing is left."""
     joined = cols[0] if len(cols) == 1 else F.concat(*[x for c in cols for x in (F.coalesce(c, F.lit("")), F.lit(" "))][:-1])
@@ -93,4 +113,4 @@ def prevalence_confidence(n: Column, m: Column) -> Column:
 def observation_tag(c: Column) -> Column:
     """F-25: a known lower-cased tag, else general."""
     t = F.lower(c)
-    return F.when(t.isin("seo", "aeo", "geo", "entity", "content", "performance", "general"), t).otherwise("general")
+    return F.when(t.isin(*TAGS), t).otherwise("general")

@@ -70,13 +70,19 @@ def deny_reason(url: Column) -> Column:
 
 def url_allowed(url: Column, url_filter: Column | None = None) -> Column:
     """P-8: not barred, and the source's own path pattern (if any) is found in the path. Patterns must have been
-    checked by sources.registry.valid_pattern, which turns unusable ones into null (no filter)."""
+    checked by valid_pattern, which turns unusable ones into null (no filter)."""
     ok = deny_reason(url).isNull()
     if url_filter is not None:
         ok = ok & (F.coalesce(url_filter, F.lit("")).eqNullSafe("") | F.coalesce(F.regexp_like(parts(url)["path"], url_filter), F.lit(False)))
     return ok
 
 
+def valid_pattern(pattern: Column) -> Column:
+    """P-8: a pattern if the JVM can compile it, else null, which means no filter. For columns of small tables: it is
+    compiled by reflection."""
+    return F.when(pattern != "", F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), pattern))
+
+
 def host(url: Column) -> Column:
     """F-13: host without scheme and www., lower case; everything before the first slash."""
     return F.lower(F.substring_index(F.regexp_replace(url, r"(?i)\Ahttps?://(www\.)?", ""), "/", 1))

@@ -18,6 +18,10 @@ DEPRECATION_NOTICE = (
     r"(?i)no longer|do(?:es)?n'?t rely|do(?:es)? not rely|deprecat|discontinu|\bretired\b|\bsunset|not (?:be )?supported"
     r"|restricted to|stopp?ed (?:showing|supporting)|will not be shown|avoid(?:ing)? (?:relying|reliance)"
 )
+# Directories that hold a translated copy of a site.
+LANGUAGE_DIRECTORIES = "zh-tw|zh-cn|zh-hans|zh-hant|ja|ko|de|es|fr|pt-br|ru|it|pl|tr|id|vi|th"
+# Fixed value: a site whose every language, English too, has a directory.
+TRANSLATED_SITE = r"(?i)//developer\.mozilla\.org/(?!en-US/)[a-z]{2}(?:-[A-Za-z]{2,4})?/"
 #: P-16: a URL from whose host an organisation can be derived.
 PLAUSIBLE_HOST = r"\Ahttps?://[^/]+\.[a-z]{2,}"
 
@@ -75,7 +79,7 @@ def recent(c: Column, now: Column, days: int = 7) -> Column:
 def locale_variant(url: Column) -> Column:
     """P-9: a page in another language than English, by its hl parameter or a language directory right after the host."""
     hl = url.rlike(r"(?i)[?&]hl=(?!en(?:[-_]|$|&))")
-    path = url.rlike(r"(?i)//[^/]+/intl/[a-z]{2}|//[^/]+/(?:zh-tw|zh-cn|zh-hans|zh-hant|ja|ko|de|es|fr|pt-br|ru|it|pl|tr|id|vi|th)/")
+    path = url.rlike(TRANSLATED_SITE) | url.rlike(rf"(?i)//[^/]+/intl/[a-z]{{2}}|//[^/]+/(?:{LANGUAGE_DIRECTORIES})/")
     return F.coalesce(hl | path, F.lit(False))
 
 
@@ -117,8 +121,17 @@ def quality_gate(rules: DataFrame, source_text: str = "text", least: float = 0.6
 
 def observation_gate(obs: DataFrame, prevalence: float = 0.7, sessions: int = 3) -> DataFrame:
     """P-13, F-12, F-25: adds reject_reason (null if accepted), ratio, confidence and tag to observations whose
-    prevalence is a struct of n, m and sessions (text or numbers; missing sessions are 0)."""
-    whole = lambda c: F.col(f"prevalence.{c}").cast("string").try_cast("double").cast("bigint")
+    prevalence is a struct of n, m and sessions. Text counts only if it is a whole number of at most 18 digits ('3.7', 'nan'
+    and '1e30' are invalid); numbers lose their fraction, those that are not finite are invalid; missing sessions are 0."""
+    types = {f.name: f.dataType.simpleString() for f in obs.schema["prevalence"].dataType}
+
+    def whole(name: str) -> Column:
+        c = F.col(f"prevalence.{name}")
+        if types[name] in ("double", "float") or types[name].startswith("decimal"):
+            return F.when(F.abs(c.cast("double")) < 1e18, c.try_cast("bigint"))
+        t = strip(c.cast("string"))
+        return F.when(t.rlike(r"\A[+-]?[0-9]{1,18}\z"), t.try_cast("bigint"))
+
     n, m, s = whole("n"), whole("m"), F.coalesce(whole("sessions"), F.when(F.col("prevalence.sessions").isNull(), 0))
     filled = lambda c: strip(F.coalesce(c, F.lit(""))) != ""
     ratio = n / F.nullif(m, F.lit(0))

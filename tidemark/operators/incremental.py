@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_hash
 from ..functions.urls import deny_reason, normalize_url, url_allowed
+from ..sources.registry import url_filters
+from ..sources.web import sitemap_children, sitemap_urls
+from .gates import locale_variant
 
 CONSUMED = ("extracted", "empty", "irrelevant", "gave_up")
 GIVE_UP = 3
@@ -20,10 +23,20 @@ def first_occurrence(df: DataFrame, keys: list[str], order: list[Column]) -> Dat
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
 
 
-def classify(observations: DataFrame, state: DataFrame) -> DataFrame:
-    """T-5: adds change_type (null: nothing to report), old_hash and signal to (url, status, text) by the prior state
-    (url, content_hash). 304 and equal hashes are unchanged; 404 and 410 remove a known page and mean nothing for an
-    unknown one; any other answer but 200 means nothing."""
+def requests(pages: DataFrame, state: DataFrame) -> DataFrame:
+    """S-14, P-9: what a fetcher is asked for: pages (source_id, url, ...) in English, each with the validators stored for
+    it, if_none_match (the etag) and if_modified_since (the stored last_modified); null ones are not sent."""
+    known = state.select("url", F.nullif("etag", F.lit("")).alias("if_none_match"), F.nullif("last_modified", F.lit("")).alias("if_modified_since"))
+    return pages.filter(F.col("url").isNotNull() & ~locale_variant(F.col("url"))).join(known, "url", "left")
+
+
+def classify(observations: DataFrame, state: DataFrame, markers: DataFrame | None = None) -> DataFrame:
+    """T-5: adds change_type (null: nothing to report), old_hash, new_hash and signal to (url, status, text) by the prior
+    state (url, content_hash). 304 and equal hashes are unchanged; 404 and 410 remove a known page and mean nothing for an
+    unknown one; any other answer but 200 means nothing.
+
+    S-9, T-4: an observation with a `marker` (a release) is told by it instead of by its text: it is unchanged if its source's
+    last_seen_marker in `markers` (source_id, last_seen_marker) is the same, else modified by signal `version`."""
     prior = state.select("url", F.col("content_hash").alias("old_hash"), F.lit(True).alias("_known"))
     j = observations.join(prior, "url", "left").withColumn("new_hash", F.when(F.col("status") == 200, content_hash(F.col("text"))))
     known = F.coalesce("_known", F.lit(False))
@@ -36,7 +49,17 @@ def classify(observations: DataFrame, state: DataFrame) -> DataFrame:
         .otherwise("new")
     )
     signal = F.when(kind == "removed", "gone").when(kind.isin("new", "modified"), "content_hash")
-    return j.withColumns({"change_type": kind, "signal": signal}).drop("_known")
+    j = j.withColumns({"change_type": kind, "signal": signal}).drop("_known")
+    if markers is None or "marker" not in observations.columns:
+        return j
+    m = markers.select("source_id", F.col("last_seen_marker").alias("_last")).dropDuplicates(["source_id"])
+    j = j.join(m, "source_id", "left")
+    by = F.col("marker").isNotNull() & (F.col("status") == 200)
+    same = F.col("marker").eqNullSafe(F.col("_last"))
+    return j.withColumns({
+        "change_type": F.when(by, F.when(same, "unchanged").otherwise("modified")).otherwise(F.col("change_type")), "signal": F.when(by, F.when(~same, "version")).otherwise(F.col("signal")),
+        "old_hash": F.when(by, F.col("_last")).otherwise(F.col("old_hash")), "new_hash": F.when(by, F.col("marker")).otherwise(F.col("new_hash")),
+    }).drop("_last")
 
 
 def pending_retries(changes: DataFrame, limit: int = 20) -> DataFrame:
@@ -70,6 +93,39 @@ def next_cursor(sizes: DataFrame, step: int = 20) -> DataFrame:
     return sizes.withColumns({"offset": F.when(~F.col("is_index"), F.pmod(F.coalesce("offset", F.lit(0)) + step, n)), "child": F.when(F.col("is_index"), F.pmod(F.coalesce("child", F.lit(0)) + 1, n))})
 
 
+def listing(files: DataFrame, cursors: DataFrame, stop: int = 300) -> DataFrame:
+    """S-12, S-8, W-4: the pages a source's walk goes through, from its sitemap files (source_id, url, parent, xml; parent null
+    for the source's own sitemap) and cursor (source_id, offset, child): (source_id, turn, loc, lastmod).
+
+    A plain sitemap is walked round from its offset. Of an index the child files are taken from number `child` on, going
+    round, each whole, until `stop` pages are listed; children that were not fetched or cannot be read give none."""
+    cur = cursors.select("source_id", F.col("offset").alias("_off"), F.col("child").alias("_child")).dropDuplicates(["source_id"])
+    roots = files.filter("parent IS NULL AND source_id IS NOT NULL")
+    kids = sitemap_children(roots.select("source_id", "xml"))
+    n = kids.groupBy("source_id").agg(F.max("pos").alias("_m"))
+    kids = kids.join(n, "source_id").join(cur, "source_id", "left")
+    order = F.pmod(F.col("pos") - F.coalesce("_child", F.lit(0)), F.col("_m") + 1)
+    pages = sitemap_urls(files.filter("source_id IS NOT NULL").select("source_id", "url", "parent", "xml"))
+    size = pages.groupBy("source_id", "url").agg(F.count(F.lit(1)).alias("_n"))
+    turned = kids.select("source_id", F.col("child").alias("url"), order.alias("_order")).join(size, ["source_id", "url"])
+    before = F.coalesce(F.sum("_n").over(W.partitionBy("source_id").orderBy("_order").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # over the files of an index
+    turned = turned.withColumn("_before", before).filter(F.col("_before") < stop).select("source_id", "url", "_before")
+    of_index = pages.join(turned, ["source_id", "url"]).withColumn("turn", F.col("_before") + F.row_number().over(W.partitionBy("source_id", "url").orderBy("pos")) - 1)
+    plain = pages.filter("parent IS NULL").join(n.select("source_id"), "source_id", "left_anti").select("source_id", "pos", "loc", "lastmod")
+    plain = rotate(plain.withColumn("pos", F.row_number().over(W.partitionBy("source_id").orderBy("pos")) - 1), cur.select("source_id", F.col("_off").alias("offset")))
+    return of_index.select("source_id", F.col("turn").cast("long").alias("turn"), "loc", "lastmod").unionByName(plain.select("source_id", F.col("turn").cast("long").alias("turn"), "loc", "lastmod"))
+
+
+def cursor_sizes(files: DataFrame, cursors: DataFrame) -> DataFrame:
+    """What next_cursor needs of each fetched source: (source_id, n, offset, child, is_index); n counts the child files of
+    an index and the listed pages of a plain sitemap."""
+    roots = files.filter("parent IS NULL AND source_id IS NOT NULL").select("source_id", "xml")
+    kids = sitemap_children(roots).groupBy("source_id").agg(F.count(F.lit(1)).alias("k"))
+    locs = sitemap_urls(roots).groupBy("source_id").agg(F.count(F.lit(1)).alias("p"))
+    j = roots.select("source_id").distinct().join(kids, "source_id", "left").join(locs, "source_id", "left").join(cursors.select("source_id", "offset", "child"), "source_id", "left")
+    return j.select("source_id", F.coalesce("k", "p", F.lit(0)).alias("n"), "offset", "child", F.col("k").isNotNull().alias("is_index"))
+
+
 def walk(pages: DataFrame, state: DataFrame, retries: DataFrame, budget: int = 20, filters: DataFrame | None = None) -> DataFrame:
     """T-6, W-3: which URLs a cycle probes. pages: (source_id, turn, loc, lastmod); state: (url, last_modified).
 
@@ -78,7 +134,7 @@ def walk(pages: DataFrame, state: DataFrame, retries: DataFrame, budget: int = 2
     whatever follows the first URL that cannot be paid is not looked at. (source_id, loc, turn, action)"""
     p = pages.withColumn("loc", normalize_url(F.col("loc")))
     if filters is not None:
-        p = p.join(filters.select("source_id", "url_filter"), "source_id", "left")
+        p = p.join(url_filters(filters), "source_id", "left")
         p = p.filter(url_allowed(F.col("loc"), F.col("url_filter"))).drop("url_filter")
     else:
         p = p.filter(url_allowed(F.col("loc")))
@@ -95,10 +151,10 @@ def walk(pages: DataFrame, state: DataFrame, retries: DataFrame, budget: int = 2
     return walked.unionByName(first.select("source_id", "loc", F.lit(-1).alias("turn"), F.lit("retry").alias("action")))
 
 
-def capped(changes: DataFrame, limit: int = 15) -> DataFrame:
+def capped(changes: DataFrame, limit: int = 15, order: tuple[str, ...] = ("change_id",)) -> DataFrame:
     """W-5: the first `limit` changes of each source and run; adds `truncated`, whether there were more."""
     n = changes.groupBy(F.col("run_id").alias("_r"), F.col("source_id").alias("_s")).agg((F.count(F.lit(1)) > limit).alias("truncated"))
-    w = W.partitionBy("run_id", "source_id").orderBy("change_id")
+    w = W.partitionBy("run_id", "source_id").orderBy(*order)
     first = changes.withColumn("_i", F.row_number().over(w)).filter(F.col("_i") <= limit).drop("_i")
     return first.join(n, F.col("run_id").eqNullSafe(F.col("_r")) & F.col("source_id").eqNullSafe(F.col("_s"))).drop("_r", "_s")
 
@@ -122,7 +178,7 @@ def preflight(pages: DataFrame, registry: DataFrame, state: DataFrame) -> DataFr
     each global rule or by the source's own pattern, and of the rest the known and the new ones."""
     p = pages.select("source_id", normalize_url(F.col("loc")).alias("url"))
     g = p.groupBy("source_id", "url").agg(F.count(F.lit(1)).alias("n"))
-    j = g.join(registry.select("source_id", "url_filter"), "source_id", "left").join(state.select("url", F.lit(True).alias("_known")).dropDuplicates(["url"]), "url", "left")
+    j = g.join(url_filters(registry), "source_id", "left").join(state.select("url", F.lit(True).alias("_known")).dropDuplicates(["url"]), "url", "left")
     why = F.coalesce(deny_reason(F.col("url")), F.when(~url_allowed(F.col("url"), F.col("url_filter")), "filter"), F.when(F.col("_known"), "known"), F.lit("new"))
     c = lambda x: F.sum((F.col("_why") == x).cast("int")).cast("long").alias(x)
     return j.withColumn("_why", why).groupBy("source_id").agg(F.sum("n").alias("listed"), F.count(F.lit(1)).alias("pages"), *[c(x) for x in ("root", "path", "query", "filter", "known", "new")])

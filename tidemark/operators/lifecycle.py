@@ -6,11 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import rule_key, strip
+from ..functions.text import refs, rule_key, strip
 from ..functions.urls import normalize_url
 from . import gates
 from .lookups import evidence_cutoff, excerpt_outcome
@@ -156,6 +157,25 @@ def start_run(runs: DataFrame, now: Column, limit_s: int = 7200) -> DataFrame:
     return runs.withColumns({"status": F.when(hit, "aborted").otherwise(F.col("status")), "finished_at": F.when(hit, now).otherwise(F.col("finished_at"))})
 
 
+def open_run(runs: DataFrame, now: Column) -> DataFrame:
+    """M-8: sweeps the stale runs and appends one that is running, numbered after the largest run_id (from 1)."""
+    last = runs.agg((F.coalesce(F.max("run_id"), F.lit(0)) + 1).alias("run_id"))
+    new = last.select(F.col("run_id").cast("bigint").alias("run_id"), now.alias("started_at"), F.lit("running").alias("status"))
+    return start_run(runs, now).unionByName(new, allowMissingColumns=True)
+
+
+RUN_COUNTERS = ("sources_checked", "sources_changed", "urls_changed", "objects_written")
+
+
+def finish_run(runs: DataFrame, outcome: DataFrame, now: Column) -> DataFrame:
+    """M-8: closes runs by (run_id, status, detail and any of the counters); other runs stay as they are."""
+    given = ["status", "detail", *[c for c in RUN_COUNTERS if c in outcome.columns]]
+    types = dict(runs.dtypes)
+    o = outcome.select("run_id", *[F.col(c).cast(types[c]).alias(f"_{c}") for c in given], F.lit(True).alias("_hit"))
+    j = runs.join(F.broadcast(o), "run_id", "left")  # one row a run that ends
+    return j.withColumns({c: F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)) for c in given} | {"finished_at": F.when(F.col("_hit"), now).otherwise(F.col("finished_at"))}).select(*runs.columns)
+
+
 EVENT = "rule_key string, seq long, url string, document_id string, status string, excerpt string, content_hash string, custom_provenance string, then_logic string, at timestamp"
 STATE_COLUMNS = ("source_url", "document_id", "url_provenance", "status", "proof", "excerpt", "content_hash", "last_verified", "then_logic")
 STATE = "rule_key string, source_url string, document_id string, url_provenance string, status string, proof string, excerpt string, content_hash string, last_verified timestamp, then_logic string, n_events long"
@@ -177,7 +197,8 @@ def _depth(url: str | None) -> int:
 
 
 def fold_step(state: dict | None, e: dict) -> dict:
-    """M-12: what one upsert makes of a rule. Four outcomes for the citation: full rewrite, refresh, or status alone."""
+    """M-12: what one upsert makes of a rule. Four outcomes for the citation: full rewrite, refresh, or status alone. A null
+    URL of an upsert equals no stored one; a stored null counts as empty."""
     proof = "observed" if e["custom_provenance"] else "verified_excerpt" if e["excerpt"] and e["content_hash"] else "unverified"
     evidence = {"excerpt": e["excerpt"], "content_hash": e["content_hash"], "proof": proof, "last_verified": e["at"]}
     cite = {"source_url": e["url"], "document_id": e["document_id"], "url_provenance": "extracted", **evidence}
@@ -185,7 +206,7 @@ def fold_step(state: dict | None, e: dict) -> dict:
         return {**cite, "url_provenance": e["custom_provenance"] or "extracted", "status": e["status"], "then_logic": e["then_logic"], "n_events": 1}
     proven, known = proof == "verified_excerpt", state["proof"] == "verified_excerpt"
     deeper = bool(e["url"]) and (not state["source_url"] or _depth(e["url"]) > _depth(state["source_url"]))
-    same = (state["source_url"] or "") == (e["url"] or "")
+    same = (state["source_url"] or "") == e["url"]
     out = dict(state)
     if (deeper and (proven or not known)) or (proven and not known and (same or not state["source_url"])):
         out.update(cite)
@@ -198,21 +219,67 @@ def fold_step(state: dict | None, e: dict) -> dict:
     return out
 
 
+def fold_once(b: pa.RecordBatch) -> pa.RecordBatch:
+    """fold_step for many rules with one upsert each, by columns."""
+    import pyarrow.compute as pc
+
+    text = lambda c: pc.fill_null(c, "")
+    any_of = lambda x, *more: pc.or_(x, any_of(*more)) if more else x
+    all_of = lambda x, *more: pc.and_(x, all_of(*more)) if more else x
+    filled = lambda c: pc.not_equal(text(c), "")
+    depth = lambda c: pc.count_substring(pc.utf8_rtrim(text(c), "/"), "/")
+    e = {c: b.column(c) for c in ("url", "document_id", "status", "excerpt", "content_hash", "custom_provenance", "then_logic", "at")}
+    observed = filled(e["custom_provenance"])
+    proof = pc.if_else(observed, "observed", pc.if_else(pc.and_(filled(e["excerpt"]), filled(e["content_hash"])), "verified_excerpt", "unverified"))
+    new = {
+        "source_url": e["url"], "document_id": e["document_id"], "url_provenance": pc.if_else(observed, e["custom_provenance"], "extracted"), "status": e["status"], "proof": proof,
+        "excerpt": e["excerpt"], "content_hash": e["content_hash"], "last_verified": e["at"], "then_logic": e["then_logic"],
+    }
+    n = pa.array([1] * b.num_rows, pa.int64())
+    if "prior" in b.schema.names:
+        prior = b.column("prior")
+        s = {c: pc.struct_field(prior, c) for c in (*STATE_COLUMNS, "n_events")}
+        has, empty = pc.is_valid(prior), pc.invert(filled(s["source_url"]))
+        proven, known = pc.equal(proof, "verified_excerpt"), pc.equal(text(s["proof"]), "verified_excerpt")
+        deeper = pc.and_(filled(e["url"]), pc.or_(empty, pc.greater(depth(e["url"]), depth(s["source_url"]))))
+        same = pc.and_(pc.is_valid(e["url"]), pc.equal(text(s["source_url"]), text(e["url"])))
+        cite = pc.or_(pc.and_(deeper, pc.or_(proven, pc.invert(known))), all_of(proven, pc.invert(known), pc.or_(same, empty)))
+        evidence = pc.or_(cite, all_of(proven, known, same))
+        latched = pc.or_(pc.equal(text(e["status"]), "deprecated"), pc.equal(text(s["status"]), "deprecated"))
+        backfill = pc.and_(pc.equal(pc.utf8_trim_whitespace(text(s["then_logic"])), ""), filled(e["then_logic"]))
+        after = {c: pc.if_else(cite, new[c], s[c]) for c in ("source_url", "document_id")} | {c: pc.if_else(evidence, new[c], s[c]) for c in ("proof", "excerpt", "content_hash", "last_verified")}
+        after |= {"url_provenance": pc.if_else(cite, "extracted", s["url_provenance"]), "status": pc.if_else(latched, "deprecated", "active"), "then_logic": pc.if_else(backfill, e["then_logic"], s["then_logic"])}
+        new = {c: pc.if_else(has, after[c], new[c]) for c in STATE_COLUMNS}
+        n = pc.if_else(has, pc.add(pc.fill_null(s["n_events"], 0), 1), n)
+    return pa.RecordBatch.from_arrays([b.column("rule_key"), *[new[c].cast(t) for c, t in zip(STATE_COLUMNS, _FOLDED.types[1:])], n], schema=_FOLDED)
+
+
+_FOLDED = pa.schema([("rule_key", pa.string()), *[(c, pa.timestamp("us", "UTC") if c == "last_verified" else pa.string()) for c in STATE_COLUMNS], ("n_events", pa.int64())])
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams over events sorted by key and order; only the rule at hand is held."""
-    schema = pa.schema([("rule_key", pa.string()), *[(c, pa.timestamp("us", "UTC") if c == "last_verified" else pa.string()) for c in STATE_COLUMNS], ("n_events", pa.int64())])
-    key, state, done = None, None, []
+    """Streams over events sorted by key and order. Keys with a single event inside a batch are folded by columns; of the
+    others, and of those at a batch's ends, one step an event with only the rule at hand held."""
+    key, state = None, None
     for b in batches:
-        for e in b.to_pylist():
+        if not b.num_rows:
+            continue
+        code = b.column("rule_key").dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new = np.append(True, code[1:] != code[:-1])
+        alone = new & np.append(new[1:], False)
+        alone[0] = False
+        if alone.any():
+            yield fold_once(b.filter(pa.array(alone)))
+        done = []
+        for e in b.filter(pa.array(~alone)).to_pylist():
             if e["rule_key"] != key:
                 if state:
                     done.append({"rule_key": key, **state})
                 key, state = e["rule_key"], e.get("prior")
             state = fold_step(state, e)
-        yield pa.RecordBatch.from_pylist(done, schema=schema)
-        done = []
+        yield pa.RecordBatch.from_pylist(done, schema=_FOLDED)
     if state:
-        yield pa.RecordBatch.from_pylist([{"rule_key": key, **state}], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"rule_key": key, **state}], schema=_FOLDED)
 
 
 def upsert_fold(events: DataFrame) -> DataFrame:
@@ -225,7 +292,8 @@ def upsert_fold(events: DataFrame) -> DataFrame:
 
 def upsert_rules(rules: DataFrame, events: DataFrame, now: Column) -> DataFrame:
     """M-12 on a snapshot: the rules after the events, which also carry name, if_condition, domain_tag, confidence_score and
-    source_org. Every row of a known rule_key goes on from its own state; a new key becomes a row with the next id (W-7)."""
+    source_org, perhaps rule_type. Every row of a known rule_key goes on from its own state; a new key becomes a row with the
+    next id (W-7), of type `ingested` and confidence 0.8 where its first event states none."""
     from .lookups import numbered
     from .rollups import max_numeric_id
 
@@ -238,12 +306,14 @@ def upsert_rules(rules: DataFrame, events: DataFrame, now: Column) -> DataFrame:
     out = rules.join(after, "id", "left").withColumns({c: F.when(F.col("_after").isNotNull(), F.col(f"_after.{s}")).otherwise(F.col(c)) for s, c in cols.items()}).drop("_after")
 
     fresh = events.join(rules.select("rule_key").distinct(), "rule_key", "left_anti")
-    given = ("name", "if_condition", "domain_tag", "confidence_score", "source_org")
+    given = ("name", "if_condition", "domain_tag", "confidence_score", "source_org", "rule_type")
+    if "rule_type" not in fresh.columns:
+        fresh = fresh.withColumn("rule_type", F.lit(None).cast("string"))
     first = fresh.groupBy("rule_key").agg(F.min_by(F.struct("document_id", "tie", *given), F.struct("seq", "tie")).alias("f"))
     new = upsert_fold(fresh).select("rule_key", *[F.col(s).alias(c) for s, c in cols.items()]).join(first, "rule_key")
     new = numbered(new, max_numeric_id(rules).first()[0], [F.col("f.tie"), F.col("rule_key")])
     new = new.select(
-        F.col("new_id").cast("string").alias("id"), "rule_key", *cols.values(), *[F.col(f"f.{c}").alias(c) for c in given], F.lit("ingested").alias("rule_type"),
-        F.concat(F.lit("["), F.col("f.document_id"), F.lit("]")).alias("source_refs_json"), now.alias("created_at"), now.alias("extracted_at"),
-    ).withColumn("domain_tag", F.coalesce("domain_tag", F.lit("general")))
+        F.col("new_id").cast("string").alias("id"), "rule_key", *cols.values(), *[F.col(f"f.{c}").alias(c) for c in given],
+        refs(F.col("f.document_id")).alias("source_refs_json"), now.alias("created_at"), now.alias("extracted_at"),
+    ).withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (("domain_tag", "general"), ("rule_type", "ingested"), ("confidence_score", "0.8"))})
     return out.unionByName(new, allowMissingColumns=True)

@@ -95,6 +95,18 @@ def canon_probe(topics: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
     return j.select("topic", z("hits"), z("hi_conf_hits"), z("fresh_hits"), z("observed_hits"), (F.coalesce("hi_conf_hits", F.lit(0)) >= F.col("min_hits")).alias("ok"))
 
 
+def ranked_probe(probe: DataFrame) -> DataFrame:
+    """O-7: adds `turn`: failing topics first, those with the fewest hits first."""
+    return probe.withColumn("turn", F.row_number().over(W.orderBy("ok", "hits", "topic")))  # the topics, a configuration
+
+
+def source_health_list(registry: DataFrame, limit: int = 3) -> DataFrame:
+    """O-4, P-21: every source with its streak and whether it alerts, `turn` by the longest streak, then source_id."""
+    fails = F.coalesce("consecutive_failures", F.lit(0))
+    r = registry.select("source_id", "enabled", "consecutive_failures", F.left(F.coalesce("last_error", F.lit("")), F.lit(60)).alias("error"), (fails >= limit).alias("alert"))
+    return r.withColumn("turn", F.row_number().over(W.orderBy(F.desc(fails), "source_id")))  # a small dimension
+
+
 def status_histogram(changes: DataFrame, now: Column | None = None, days: int = 7) -> DataFrame:
     """A-6: extract states with their share as a whole percentage, rounded down; of the last days if now is given."""
     rows = changes if now is None else changes.filter(gates.recent(F.col("detected_at"), now, days))

@@ -5,13 +5,15 @@ Every query that needs a clock takes the as-of time of the data. Timestamps leav
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import urls as ux
 from ..operators import gates, incremental, lifecycle, lookups, rollups
-from ..session import AS_OF, table
+from ..session import AS_OF, table, temporary
 from ..sources import files, registry, web
+from ..streaming import replay
 from .sql import ORACLES  # noqa: F401
 
 
@@ -23,11 +25,17 @@ def stamp(c: str | Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
+def _snapshot(s: SparkSession, d: str, back: int = 0) -> DataFrame:
+    """The rows of the last delivery of url_state, or of the one `back` before it. Its number is read first (one number per
+    delivery), so that the scan is pruned by it; without such a delivery there are no rows."""
+    u = table(s, d, "url_state")
+    numbers = sorted((r[0] for r in u.filter("snapshot_no IS NOT NULL").select("snapshot_no").distinct().collect()), reverse=True)
+    return u.filter(F.col("snapshot_no") == numbers[back]) if len(numbers) > back else u.filter(F.lit(False))
+
+
 def _prior(s: SparkSession, d: str) -> DataFrame:
     """The state after the last snapshot: one row per normalised URL, the latest capture counts."""
-    u = table(s, d, "url_state")
-    last = u.agg(F.max("snapshot_no").alias("snapshot_no"))
-    return lifecycle.rekey_url_state(u.join(F.broadcast(last), "snapshot_no").drop("snapshot_no"))
+    return lifecycle.rekey_url_state(_snapshot(s, d).drop("snapshot_no"))
 
 
 def page_change_detect(s: SparkSession, d: str) -> DataFrame:
@@ -45,8 +53,7 @@ def url_normalize(s, d):
 
 def url_hygiene(s, d):
     u = table(s, d, "ingest_changes").filter("url IS NOT NULL").select("source_id", ux.normalize_url(F.col("url")).alias("url")).distinct()
-    r = table(s, d, "source_registry").select("source_id", "url_filter")
-    j = u.join(r, "source_id", "left")
+    j = u.join(registry.url_filters(table(s, d, "source_registry")), "source_id", "left")
     return j.select("source_id", "url", ux.deny_reason(F.col("url")).alias("deny_reason"), ux.url_allowed(F.col("url"), F.col("url_filter")).alias("allowed"))
 
 
@@ -75,11 +82,8 @@ def doc_dedupe_first(s, d):
     return h.groupBy("content_hash").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("dup_count"))
 
 
-TERMS = r"search engine|sitemap|crawl|robots|snippet|canonical|index|ranking"
-
-
 def relevance_screen(s, d):
-    hits = tx.relevance_hits(F.col("text"), TERMS)
+    hits = tx.relevance_hits(F.col("text"))
     return table(s, d, "documents").select("doc_id", hits.alias("hits"), (hits >= 2).alias("relevant"))
 
 
@@ -104,7 +108,7 @@ def embed_text(s, d):
 
 def rule_status(s, d):
     t = F.concat_ws(" ", "name", "if_condition", "then_logic")
-    return table(s, d, "rules").select("id", tx.rule_status(F.col("status")).alias("status"), gates.deprecated_claim(t).alias("deprecated_claim"), F.concat(F.lit("["), F.coalesce("document_id", F.lit("")), F.lit("]")).alias("refs"))
+    return table(s, d, "rules").select("id", tx.rule_status(F.col("status")).alias("status"), gates.deprecated_claim(t).alias("deprecated_claim"), tx.refs(F.coalesce("document_id", F.lit(""))).alias("refs"))
 
 
 def brain_health(s, d):
@@ -126,14 +130,13 @@ def registry_health(s, d):
 
 
 def overdue_sources(s, d):
-    r = table(s, d, "source_registry").filter(gates.overdue(now()))
-    return r.select("source_id", "tier", stamp("last_crawled_at").alias("last_crawled"))
+    """P-2 with the order of O-8 as a rank."""
+    r = registry.ordered(table(s, d, "source_registry").filter(gates.overdue(now())))
+    return r.select("source_id", "tier", stamp("last_crawled_at").alias("last_crawled"), "turn")
 
 
 def due_sources(s, d):
     """P-1 with the order of O-1 as a rank."""
-    from pyspark.sql import Window as W
-
     r = table(s, d, "source_registry").filter(gates.due(now()))
     rank = F.row_number().over(W.orderBy("tier", F.asc_nulls_first("last_crawled_at"), "source_id"))  # sources only, a small dimension
     return r.select("source_id", rank.alias("turn"))
@@ -170,9 +173,8 @@ def recent_changes(s, d):
 
 
 def source_health_list(s, d):
-    """O-4, P-21, F-19, F-20"""
-    r = table(s, d, "source_registry")
-    return r.select("source_id", "enabled", "consecutive_failures", F.left(F.coalesce("last_error", F.lit("")), F.lit(60)).alias("error"), (F.coalesce("consecutive_failures", F.lit(0)) >= 3).alias("alert"))
+    """O-4 (as a rank), P-21, F-19, F-20"""
+    return rollups.source_health_list(table(s, d, "source_registry"))
 
 
 def rules_added(s, d):
@@ -215,7 +217,7 @@ TOPICS = [
 
 def canon_probe(s, d):
     topics = s.createDataFrame(TOPICS, "topic string, domain_tag string, patterns array<string>, min_hits int, min_conf double")
-    return rollups.canon_probe(topics, table(s, d, "rules"), now())
+    return rollups.ranked_probe(rollups.canon_probe(topics, table(s, d, "rules"), now()))
 
 
 def neighbor_adopt(s, d):
@@ -272,37 +274,32 @@ def marker_moves(s, d):
 
 def _listed(s, d) -> DataFrame:
     """The pages of each source as its sitemap would list them: the URLs of the last snapshot in order."""
-    from pyspark.sql import Window as W
-
-    u = table(s, d, "url_state").filter("snapshot_no = 4 AND url IS NOT NULL AND source_id IS NOT NULL").select("source_id", F.col("url").alias("loc"), F.col("last_modified").alias("lastmod")).groupBy("source_id", "loc").agg(F.max("lastmod").alias("lastmod"))
+    u = _snapshot(s, d).filter("url IS NOT NULL AND source_id IS NOT NULL").select("source_id", F.col("url").alias("loc"), F.col("last_modified").alias("lastmod")).groupBy("source_id", "loc").agg(F.max("lastmod").alias("lastmod"))
     return u.withColumn("pos", F.row_number().over(W.partitionBy("source_id").orderBy("loc")) - 1)
 
 
 def rotation_window(s, d):
-    off = table(s, d, "source_registry").select("source_id", F.get_json_object("crawl_cursor", "$.offset").try_cast("int").alias("offset"))
-    return incremental.rotate(_listed(s, d), off).select("source_id", "loc", "turn")
+    return incremental.rotate(_listed(s, d), registry.cursors(table(s, d, "source_registry"))).select("source_id", "loc", "turn")
 
 
 def probe_budget(s, d):
     """T-6 over the sitemaps of the last snapshot against the state before it."""
     r = table(s, d, "source_registry")
-    off = r.select("source_id", F.get_json_object("crawl_cursor", "$.offset").try_cast("int").alias("offset"))
-    before = table(s, d, "url_state").filter("snapshot_no = 3").select(ux.normalize_url(F.col("url")).alias("url"), "last_modified").filter("url IS NOT NULL").groupBy("url").agg(F.max("last_modified").alias("last_modified"))
+    before = _snapshot(s, d, 1).select(ux.normalize_url(F.col("url")).alias("url"), "last_modified").filter("url IS NOT NULL").groupBy("url").agg(F.max("last_modified").alias("last_modified"))
     retries = incremental.pending_retries(table(s, d, "ingest_changes").filter("source_id IS NOT NULL"))
-    return incremental.walk(incremental.rotate(_listed(s, d), off), before, retries, filters=r)
+    return incremental.walk(incremental.rotate(_listed(s, d), registry.cursors(r)), before, retries, filters=r)
 
 
 def preflight(s, d):
     """P-22: a dry run over the sitemaps of the last snapshot against the state before it."""
-    before = table(s, d, "url_state").filter("snapshot_no = 3").select(ux.normalize_url(F.col("url")).alias("url")).filter("url IS NOT NULL")
+    before = _snapshot(s, d, 1).select(ux.normalize_url(F.col("url")).alias("url")).filter("url IS NOT NULL")
     return incremental.preflight(_listed(s, d), table(s, d, "source_registry"), before)
 
 
 def next_cursor(s, d):
     n = _listed(s, d).groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
     r = table(s, d, "source_registry").filter("adapter_type = 'sitemap'")
-    cur = r.select("source_id", *[F.get_json_object("crawl_cursor", f"$.{c}").try_cast("int").alias(c) for c in ("offset", "child")])
-    j = cur.join(n, "source_id", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("is_index", F.col("child").isNotNull())
+    j = registry.cursors(r).join(n, "source_id", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("is_index", F.col("child").isNotNull())
     return incremental.next_cursor(j).select("source_id", F.col("offset").cast("bigint").alias("offset"), F.col("child").cast("bigint").alias("child"))
 
 
@@ -354,7 +351,7 @@ def quality_gate(s, d):
 
 
 def reverify_stamp(s, d):
-    seen = table(s, d, "url_state").filter("snapshot_no = 4 AND content_hash IS NOT NULL").select("url", F.lower("content_hash").alias("content_hash"))
+    seen = _snapshot(s, d).filter("content_hash IS NOT NULL").select("url", F.lower("content_hash").alias("content_hash"))
     out = lifecycle.restamp(table(s, d, "rules").select("id", "source_url", "last_verified", "status", "url_provenance"), seen, table(s, d, "ingest_changes"), now())
     return out.select("id", "stamped")
 
@@ -367,7 +364,7 @@ def retire_removed(s, d):
 
 def state_after_removal(s, d):
     gone = table(s, d, "ingest_changes").filter("change_type = 'removed'").select("url").filter("url IS NOT NULL")
-    _, state = lifecycle.retire_removed(table(s, d, "rules").select("source_url", "status"), table(s, d, "url_state").filter("snapshot_no = 4").select("url", "content_hash"), gone)
+    _, state = lifecycle.retire_removed(table(s, d, "rules").select("source_url", "status"), _snapshot(s, d).select("url", "content_hash"), gone)
     return state.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -377,14 +374,13 @@ def mark_pending(s, d):
 
 
 def url_state_rekey(s, d):
-    u = table(s, d, "url_state").filter("snapshot_no = 4").select("url", "content_hash", "last_seen_at")
+    u = _snapshot(s, d).select("url", "content_hash", "last_seen_at")
     return lifecycle.rekey_url_state(u).select("url", "content_hash", stamp("last_seen_at").alias("last_seen_at"), "spellings")
 
 
 def url_state_upsert(s, d):
-    u = table(s, d, "url_state")
-    base = lifecycle.latest(u.filter("snapshot_no = 3 AND url IS NOT NULL").drop("snapshot_no"), ["url"], [F.coalesce("last_seen_at", F.lit("0001-01-01").cast("timestamp")), F.coalesce("content_hash", F.lit("")), F.coalesce("source_id", F.lit(""))])
-    out = lifecycle.save_url_state(base, u.filter("snapshot_no = 4").drop("snapshot_no").withColumn("last_seen_at", F.coalesce("last_seen_at", F.lit("0001-01-01").cast("timestamp"))))
+    base = lifecycle.latest(_snapshot(s, d, 1).filter("url IS NOT NULL").drop("snapshot_no"), ["url"], [F.coalesce("last_seen_at", F.lit("0001-01-01").cast("timestamp")), F.coalesce("content_hash", F.lit("")), F.coalesce("source_id", F.lit(""))])
+    out = lifecycle.save_url_state(base, _snapshot(s, d).drop("snapshot_no").withColumn("last_seen_at", F.coalesce("last_seen_at", F.lit("0001-01-01").cast("timestamp"))))
     return out.select("url", "source_id", "content_hash")
 
 
@@ -409,12 +405,6 @@ def upsert_fold(s, d):
 
 
 def undeprecate(s, d):
-    r = table(s, d, "rules").select("id", "rule_key", "status", "last_verified")
-    keys = r.filter("status = 'deprecated' AND rule_key IS NOT NULL").select("rule_key").distinct().orderBy("rule_key").limit(5)
-    return lifecycle.undeprecate(r, keys, now()).filter("changed").select("id", "status")
-
-
-def undeprecate_all(s, d):
     """M-17 over all deprecated rules, by rule_key, or by id where they have none."""
     r = table(s, d, "rules").select("id", "rule_key", "status", "last_verified")
     keys = r.filter("status = 'deprecated'").select(F.coalesce("rule_key", "id").alias("key"))
@@ -461,13 +451,7 @@ def snapshot_delta(s, d):
 def event_windows(s, d):
     """Structured Streaming: daily counts per event type with a watermark, replayed as available micro-batches. The
     log is bounded, so the windows the watermark has not passed at its end are flushed."""
-    import tempfile
-    import uuid
-
-    from ..streaming import replay
-
-    base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-stream-")
-    root = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = temporary(s, "stream")
     events = replay.stream_table(s, d, "events", table(s, d, "events").schema)
     at = F.col("ts").cast("timestamp")
     replay.replay_to_folder(replay.windowed_counts(events.withColumn("ts", at)), f"{root}/out", f"{root}/offsets")
@@ -492,6 +476,6 @@ QUERIES = {
         run_summary, source_ledger, canon_probe, neighbor_adopt, alias_normalize, org_normalize_pipeline, evidence_cutoff, latest_change_per_url, pending_retries,
         failure_backstop, failure_streak, capped_changes, consume, marker_moves, rotation_window, probe_budget, preflight, next_cursor, sitemap_parse, seed_url_list, adapter_dispatch,
         harvest, reconcile_excerpts, quality_gate, reverify_stamp, retire_removed, state_after_removal, mark_pending, url_state_rekey, url_state_upsert, source_upsert,
-        source_health_fold, upsert_fold, undeprecate, undeprecate_all, stale_runs, run_detail, embedding_queue, document_upsert, observe_gate, snapshot_delta, event_windows, numbered_rules,
+        source_health_fold, upsert_fold, undeprecate, stale_runs, run_detail, embedding_queue, document_upsert, observe_gate, snapshot_delta, event_windows, numbered_rules,
     )
 }

@@ -24,13 +24,20 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str | None = None,
 
 
 def read_jsonl_strict(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """S-3: JSON lines; blank lines are skipped, a malformed line fails the read."""
-    return spark.read.schema(SCHEMAS[name]).option("mode", "FAILFAST").json(path)
+    """S-3: JSON lines; blank lines are skipped, a malformed line fails the read. Adds `arrival`."""
+    return with_arrival(spark.read.schema(SCHEMAS[name]).option("mode", "FAILFAST").json(path))
 
 
 def read_jsonl_counting(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """S-4: JSON lines; a malformed line becomes a row with its text in `corrupt`, everything else null."""
-    return spark.read.schema(f"{SCHEMAS[name]}, corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(path)
+    """S-4: JSON lines; a malformed line becomes a row with its text in `corrupt`, everything else null. Adds `arrival`."""
+    return with_arrival(spark.read.schema(f"{SCHEMAS[name]}, corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(path))
+
+
+def with_arrival(lines: DataFrame) -> DataFrame:
+    """Adds `arrival`, text that sorts the lines by file name, and in a file as they stand in it: by the part of the
+    file a task read and the row in it."""
+    digits = lambda c: F.lpad(c.cast("string"), 20, "0")
+    return lines.withColumn("arrival", F.concat_ws("/", "_metadata.file_path", digits(F.col("_metadata.file_block_start")), digits(F.monotonically_increasing_id())))
 
 
 def harvest(pages: DataFrame, order: list[Column], least: int = 200, per_source: int = 25, cut: int = 12000) -> DataFrame:

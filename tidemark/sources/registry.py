@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.urls import valid_pattern
 from ..schemas import SCHEMAS, conform
 
 SETTABLE = ("canonical_org", "adapter_type", "tier", "root_url", "sitemap_url", "seed_urls", "url_filter", "crawl_cadence_days", "notes")
@@ -18,12 +19,9 @@ def seeds_from_json(spark: SparkSession, path: str | Path) -> DataFrame:
     return spark.read.schema(SCHEMAS["source_registry"]).option("multiLine", True).json(str(path))
 
 
-def valid_pattern(pattern: str | None) -> str | None:
-    """P-8: a path pattern if it compiles, else None, which means no filter. Checked once, when a source is loaded."""
-    try:
-        return pattern if pattern and re.compile(pattern) else None
-    except re.error:
-        return None
+def url_filters(registry: DataFrame) -> DataFrame:
+    """P-8: (source_id, url_filter) with unusable patterns as null, so that they filter nothing instead of failing a job."""
+    return registry.select("source_id", valid_pattern(F.col("url_filter")).alias("url_filter"))
 
 
 def upsert_sources(registry: DataFrame, seeds: DataFrame, force: bool = False) -> DataFrame:
@@ -80,3 +78,21 @@ def add_source(registry: DataFrame, source: dict[str, str | None]) -> DataFrame:
 def enable(registry: DataFrame, source_id: str, on: bool) -> DataFrame:
     """M-18: switches a source on or off."""
     return registry.withColumn("enabled", F.when(F.col("source_id") == source_id, F.lit(on)).otherwise(F.col("enabled")))
+
+
+def cursors(registry: DataFrame) -> DataFrame:
+    """M-3: (source_id, offset, child) out of the stored cursor; null where it has none or cannot be read."""
+    part = lambda c: F.get_json_object("crawl_cursor", f"$.{c}").try_cast("int").alias(c)
+    return registry.select("source_id", part("offset"), part("child"))
+
+
+def save_cursors(registry: DataFrame, moved: DataFrame) -> DataFrame:
+    """M-3: stores the cursors of (source_id, offset, child), one of the two given; other sources keep theirs."""
+    m = moved.select("source_id", F.to_json(F.struct("offset", "child")).alias("_to")).groupBy("source_id").agg(F.max("_to").alias("_to"))
+    return registry.join(m, "source_id", "left").withColumn("crawl_cursor", F.coalesce("_to", "crawl_cursor")).drop("_to")
+
+
+def ordered(registry: DataFrame, only: str | None = None) -> DataFrame:
+    """O-2, O-12: adds `turn`, the place in order of tier and source_id; of one adapter's enabled sources if `only` is given."""
+    r = registry if only is None else registry.filter((F.col("adapter_type") == only) & F.col("enabled"))
+    return r.withColumn("turn", F.row_number().over(W.orderBy(F.asc_nulls_last("tier"), "source_id")))  # a small dimension

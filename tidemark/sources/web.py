@@ -150,3 +150,23 @@ def pdf_pages(pages: int = 40, chars: int = 60_000):
         return s.map(lambda b: read(b) if b is not None else "")
 
     return run
+
+
+def targets(registry: DataFrame, walked: DataFrame, cap: int = 60) -> DataFrame:
+    """S-13: what each enabled source's adapter looks at: (source_id, adapter, at, url). Sitemap sources give the pages of
+    their walk (source_id, turn, loc, action) that are to be fetched, retries first; lists their seeds; releases and
+    changelogs, and sources of unknown kinds without a walk, their root."""
+    r = registry.filter("enabled").withColumn("adapter", adapter(F.col("adapter_type")))
+    pages = walked.filter("action IN ('probe', 'retry')").join(r.filter("adapter = 'sitemap'").select("source_id", "adapter"), "source_id")
+    pages = pages.withColumn("at", F.row_number().over(W.partitionBy("source_id").orderBy("turn", "loc"))).select("source_id", "adapter", "at", F.col("loc").alias("url"))
+    listed = url_list(r, cap).select("source_id", F.lit("url_list").alias("adapter"), "at", "url")
+    roots = r.filter(F.col("adapter").isin("github_release", "changelog") & F.col("root_url").isNotNull()).select("source_id", "adapter", F.lit(1).alias("at"), F.col("root_url").alias("url"))
+    return pages.unionByName(listed).unionByName(roots)
+
+
+def fill_text(changes: DataFrame, responses: DataFrame) -> DataFrame:
+    """S-15: the text of changes that carry none, from responses (url, status, body) fetched on demand: the main text of a
+    200 answer, else ''. Of several answers for a URL the smallest body counts."""
+    got = responses.filter("url IS NOT NULL AND status = 200").groupBy("url").agg(F.min("body").alias("_body"))
+    j = changes.join(got, "url", "left")
+    return j.withColumn("text", F.when(F.coalesce("text", F.lit("")) != "", F.col("text")).otherwise(main_text(F.col("_body")))).drop("_body")
