@@ -12,11 +12,11 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tidemark.plans import problems, queries
+from tidemark.plans import job_queries, problems, queries
 
 ROOT = Path(__file__).resolve().parents[1]
-QUERIES = {**queries.QUERIES, **problems.QUERIES}
-ORACLES = {**queries.ORACLES, **problems.ORACLES}
+QUERIES = {**queries.QUERIES, **job_queries.QUERIES, **problems.QUERIES}
+ORACLES = {**queries.ORACLES, **job_queries.ORACLES, **problems.ORACLES}
 
 
 def plain(v):

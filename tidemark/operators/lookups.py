@@ -97,13 +97,21 @@ def nearest_citation(rules: DataFrame, least: float = 0.8, candidate: Column | N
     return per.groupBy("id").agg(first.alias("n")).select("id", "n.*")
 
 
-def adopt_citations(rules: DataFrame, neighbours: DataFrame, now: str) -> DataFrame:
-    """M-14, F-23: gives each rule its neighbour's URL with a provenance that says so; last_verified is untouched. One pass
-    over a snapshot: adoptions do not feed one another, unlike a row-by-row run."""
+def adopt_citations(rules: DataFrame, neighbours: DataFrame, now: str, documents: bool = True) -> DataFrame:
+    """M-14, J-4, F-23: gives each rule its neighbour's URL, and its document where it has one (not with documents=False, for
+    neighbours of another table), with a provenance that says so; last_verified is untouched. One pass over a snapshot:
+    adoptions do not feed one another, unlike a row-by-row run."""
     note = F.to_json(F.struct(F.lit("neighbor").alias("method"), F.col("nn_id").alias("from"), F.round("sim", 4).alias("sim"), F.lit(now).alias("at")))
-    j = rules.join(neighbours.select("id", "nn_id", "nn_url", "sim"), "id", "left")
+    n = neighbours.select("id", "nn_id", "nn_url", "sim")
+    if documents:
+        theirs = rules.filter("id IS NOT NULL AND document_id IS NOT NULL").groupBy(F.col("id").alias("nn_id")).agg(F.min("document_id").alias("_doc"))
+        n = n.join(theirs, "nn_id", "left")
+    j = rules.join(n, "id", "left")
     hit = F.col("nn_id").isNotNull()
-    return j.withColumns({"source_url": F.coalesce("nn_url", "source_url"), "url_provenance": F.when(hit, note).otherwise(F.col("url_provenance"))}).drop("nn_id", "nn_url", "sim")
+    cols = {"source_url": F.coalesce("nn_url", "source_url"), "url_provenance": F.when(hit, note).otherwise(F.col("url_provenance"))}
+    if documents:
+        cols["document_id"] = F.coalesce("_doc", "document_id")
+    return j.withColumns(cols).drop("nn_id", "nn_url", "sim", "_doc")
 
 
 def embedding_queue(rules: DataFrame, active_only: bool = True, limit: int | None = 1000) -> DataFrame:

@@ -104,14 +104,14 @@ def cycle(
     obs = incremental.first_occurrence(obs, ["url"], [F.coalesce("arrival", F.lit("")), F.coalesce("source_id", F.lit("")), F.coalesce("status", F.lit(0)), F.coalesce("text", F.lit(""))])
     sources = corpus.registry
     markers = sources.select("source_id", "last_seen_marker") if sources is not None else None
-    seen = incremental.classify(obs, corpus.url_state, markers).withColumn("run_id", F.lit(run_id).cast("bigint"))
+    seen = stored(incremental.classify(stored(obs), corpus.url_state, markers).withColumn("run_id", F.lit(run_id).cast("bigint")))
     moves = seen.filter(F.col("change_type").isin("new", "modified", "removed"))
     if monitor or cap is None:
         moves = moves.withColumn("truncated", F.lit(False))
     else:
         moves = incremental.capped(moves, cap, ("arrival", "url"))
     moves = stored(moves)
-    same = stored(seen.filter("change_type = 'unchanged'"))
+    same = seen.filter("change_type = 'unchanged'")
     changed = moves.filter("change_type <> 'removed'")
     gone = moves.filter("change_type = 'removed'")
 
