@@ -96,3 +96,22 @@ def test_drift_is_largest_for_the_odd_load(spark):
     assert d[0]["run_id"] == 2 and d[0]["psi"] > 3 * d[1]["psi"] and d[0]["chi2"] > d[1]["chi2"]
     same = qp.drift(spark.createDataFrame(data, T)).filter("field = 'source_url'").collect()
     assert all(abs(r["psi"]) < 1e-9 for r in same)
+
+
+def test_any_table_column_by_column(spark):
+    ddl = "load string, n int, f double, d decimal(5,2), b boolean, t timestamp, day date, bin binary, a array<int>, m map<string,int>, s struct<x:int>, value string, field string"
+    rows = [("a", 1, 0.5, None, True, BASE, BASE.date(), b"x", [1], {"k": 1}, (1,), "ok-1", "z" * 600), ("a", 3, float("nan"), None, None, BASE, None, None, [1], None, (1,), "no", "z" * 600), ("b", None, None, None, None, None, None, None, None, None, None, "", None), (None, 9, 9.0, None, None, None, None, None, None, None, None, "lost", None)]
+    df = spark.createDataFrame(rows, ddl)
+    fields = qp.columns(df, patterns={"value": "ok-[0-9]+"}, ranges={"n": (0, 2), "f": (0, 1)})
+    got = {(r["load"], r["field"]): r for r in qp.profile_table(df, F.col("load"), fields).collect()}
+    assert len(got) == 2 * len(df.columns)
+    assert {k: (v["n_rows"], v["n_missing"], v["n_distinct"], v["n_invalid"], v["median_valid"]) for k, v in got.items() if k[0] == "a"} == {
+        ("a", "load"): (2, 0, 1, 0, None), ("a", "n"): (2, 0, 2, 1, 1.0), ("a", "f"): (2, 0, 2, 1, 0.5), ("a", "d"): (2, 2, 0, 0, None), ("a", "b"): (2, 1, 1, 0, None), ("a", "t"): (2, 0, 1, 0, None), ("a", "day"): (2, 1, 1, 0, None),
+        ("a", "bin"): (2, 1, 1, 0, None), ("a", "a"): (2, 0, 1, 0, None), ("a", "m"): (2, 1, 1, 0, None), ("a", "s"): (2, 0, 1, 0, None), ("a", "value"): (2, 0, 2, 1, None), ("a", "field"): (2, 0, 1, 0, None),
+    }
+    assert len(got["a", "field"]["top_value"]) == 265 and got["b", "value"]["n_missing"] == 1
+    bad = qp.wrong_values(df, fields, qp.value_counts(df, fields, F.col("load")), F.monotonically_increasing_id())
+    assert sorted((r["field"], r["value"]) for r in bad.collect()) == [("f", "9.0"), ("f", "NaN"), ("n", "3"), ("n", "9"), ("value", "lost"), ("value", "no")]
+    d = {(r["load"], r["field"]): r["psi"] for r in qp.drift_table(df, F.col("load")).collect()}
+    assert d["a", "d"] == 0 and d["a", "n"] > 0
+    assert qp.profile_table(df.limit(0), F.col("load")).count() == 0 and qp.profile_table(df).count() == len(df.columns)

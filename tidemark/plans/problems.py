@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 from ..operators import quality_profile, snapshot_diff
 from ..session import table
 
+DOCUMENT_PATTERNS = {"lang": "[a-z]{2}", "source": "[a-z]+(-[a-z]+)*", "domain_tag": "[a-z]+"}
+
+
+def _whole(df: DataFrame, load: Column, patterns: dict | None, ranges: dict | None) -> DataFrame:
+    """The profile of every column of a table."""
+    p = quality_profile.profile_table(df, load, quality_profile.columns(df, patterns, ranges))
+    return p.select(F.col("load").cast("string").alias("load"), "field", "n_rows", "n_missing", "n_distinct", "n_invalid", "top_count", "top_value", "min_value", "max_value", "min_number", "max_number", "median_valid")
+
+
 QUERIES = {
     "p1_found": lambda s, d: quality_profile.found(table(s, d, "rules")),
     "p1_profile": lambda s, d: quality_profile.profile(table(s, d, "rules")).select(
         "run_id", "field", "n_rows", "n_missing", "n_distinct", "n_invalid", "top_count", "min_value", "max_value", "top_value", "median_valid"
     ),
+    "p1_documents": lambda s, d: _whole(table(s, d, "documents"), F.coalesce("lang", F.lit("none")), DOCUMENT_PATTERNS, {"n_chars": (0, 1e6)}),
+    "p1_rules": lambda s, d: _whole(table(s, d, "rules").drop("embedding"), F.col("run_id"), None, None),
+    "p1_documents_drift": lambda s, d: quality_profile.drift_table(table(s, d, "documents"), F.coalesce("lang", F.lit("none"))),
     "p1_drift": lambda s, d: quality_profile.drift(table(s, d, "rules")),
     "p7_found": lambda s, d: snapshot_diff.found(table(s, d, "url_state")),
 }
@@ -41,7 +56,39 @@ prof AS (
   FROM counts GROUP BY ALL
 )"""
 
+
+
+def _columns(t: str, load: str, kinds: dict[str, str], patterns: dict, ranges: dict) -> str:
+    """(load, field, value, valid, x) of every column, by kind: text, number or time."""
+    parts = []
+    for c, kind in kinds.items():
+        v = {"number": f"{c}::VARCHAR", "time": f"strftime({c}::TIMESTAMPTZ AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S.%f')"}.get(kind, f"nullif({c}, '')")
+        if kind == "text" and c not in patterns:
+            v = f"CASE WHEN len({v}) > 512 THEN left({v}, 200) || '…' || sha256({v}) ELSE {v} END"
+        ok = f"regexp_full_match({c}, '{patterns[c]}')" if c in patterns else f"{c} BETWEEN {ranges[c][0]} AND {ranges[c][1]}" if c in ranges else "true"
+        parts.append(f"SELECT {load} AS load, '{c}' AS field, {v} AS value, coalesce({v} IS NOT NULL AND {ok}, false) AS valid, {f'CASE WHEN {ok} THEN {c}::DOUBLE END' if kind == 'number' else 'NULL::DOUBLE'} AS x FROM {t}")
+    return "v AS (" + " UNION ALL ".join(parts) + ")"
+
+
+_PROFILED = """, c AS (SELECT load, field, value, count(*) AS n, count(*) FILTER (valid) AS ok FROM v WHERE load IS NOT NULL GROUP BY ALL),
+m AS (SELECT load, field, median(x) AS median_valid, min(x) AS min_number, max(x) AS max_number FROM v GROUP BY ALL),
+p AS (SELECT load, field, sum(n)::BIGINT AS n_rows, coalesce(sum(n) FILTER (value IS NULL), 0)::BIGINT AS n_missing, count(value) AS n_distinct, coalesce(sum(n - ok) FILTER (value IS NOT NULL), 0)::BIGINT AS n_invalid,
+  (max(n) FILTER (value IS NOT NULL))::BIGINT AS top_count, first(value ORDER BY n DESC, value) FILTER (value IS NOT NULL) AS top_value, min(value) AS min_value, max(value) AS max_value FROM c GROUP BY ALL)
+SELECT p.* REPLACE (load::VARCHAR AS load), min_number, max_number, median_valid FROM p LEFT JOIN m USING (load, field)"""
+_DOCUMENTS = {"doc_id": "number", "text": "text", "lang": "text", "source": "text", "n_chars": "number", "title": "text", "source_url": "text", "domain_tag": "text", "created_at": "time"}
+_RULES = {c: "text" for c in ("id", "name", "rule_type", "if_condition", "then_logic", "domain_tag", "confidence_score", "source_refs_json", "status", "source_org", "source_url", "document_id", "rule_key", "superseded_by", "url_provenance", "source_excerpt", "source_content_hash", "provenance_status")}
+_RULES |= {"created_at": "time", "extracted_at": "time", "last_verified": "time", "run_id": "number"}
+
 ORACLES = {
+    "p1_documents": "WITH " + _columns("documents", "coalesce(lang, 'none')", _DOCUMENTS, DOCUMENT_PATTERNS, {"n_chars": (0, 1e6)}) + _PROFILED,
+    "p1_rules": "WITH " + _columns("rules", "run_id", _RULES, {}, {}) + _PROFILED,
+    "p1_documents_drift": "WITH " + _columns("documents", "coalesce(lang, 'none')", _DOCUMENTS, {}, {}) + """,
+span AS (SELECT field, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1),
+k AS (SELECT load, field, CASE WHEN value IS NULL THEN 'missing' WHEN x IS NOT NULL THEN least(19, CASE WHEN hi > lo THEN floor((x - lo) * 20 / (hi - lo))::BIGINT ELSE 0 END)::VARCHAR ELSE left(value, 2) END AS kind FROM v JOIN span USING (field)),
+per AS (SELECT load, field, kind, count(*) AS n FROM k GROUP BY ALL), kinds AS (SELECT field, kind, sum(n) AS all_n FROM per GROUP BY ALL), loads AS (SELECT load, field, sum(n) AS load_n FROM per GROUP BY ALL),
+grid AS (SELECT l.load, l.field, load_n, coalesce(n, 0) AS n, all_n, count(*) OVER w AS k, sum(all_n) OVER w AS total FROM loads l JOIN kinds USING (field) LEFT JOIN per USING (load, field, kind) WINDOW w AS (PARTITION BY l.load, l.field)),
+pq AS (SELECT load, field, load_n::DOUBLE AS load_n, (n + 0.5)::DOUBLE / (load_n + 0.5 * k)::DOUBLE AS p, (all_n - n + 0.5)::DOUBLE / (total - load_n + 0.5 * k)::DOUBLE AS q FROM grid)
+SELECT load, field, round(sum((p - q) * ln(p / q)), 4) AS psi, round(sum(load_n * (p - q) * (p - q) / q), 2) AS chi2, count(*) AS classes FROM pq GROUP BY ALL""",
     "p1_profile": f"""WITH {_CHECKED}
 SELECT p.*, m.median_valid FROM prof p LEFT JOIN med m USING (run_id, field)""",
     "p1_found": f"""WITH {_CHECKED},
