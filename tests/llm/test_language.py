@@ -40,7 +40,7 @@ def test_held_out_accuracy(filters):
     for i in range(200):
         want = list(PARTS)[i % 4]
         m = filters.look_up(lg.gram_hashes(text(want, rng, 1), table))
-        lang, sure = filters.decide(m, np.array([0]), np.array([len(m)]))
+        lang, sure = filters.decide(m, np.array([0]), np.array([m.shape[1]]))
         right += filters.languages[lang[0]] == want and 0 < sure[0] <= 1
     assert right >= 198
 
@@ -50,7 +50,7 @@ def test_false_positives_are_corrected(filters):
     h = rng.integers(1, 2**63, 200_000).astype(np.uint64)
     masks = filters.look_up(h)
     for i in range(4):
-        assert abs(((masks >> np.uint32(i)) & 1).mean() - filters.rates[i]) < 0.002
+        assert abs(((masks[0] >> np.uint64(i)) & np.uint64(1)).mean() - filters.rates[i]) < 0.002
     lang, _ = filters.decide(masks, np.array([0]), np.array([100]))
     assert lang[0] == -1 or filters.rates.max() > 0.01
 
@@ -87,3 +87,24 @@ def test_long_line(spark, filters):
     long = text("ru", rng, 20_000)
     got = lg.line_languages(spark.createDataFrame([(1, long + "\n" + text("en", rng))], "row bigint, text string"), filters).first()
     assert [filters.languages[i] for i in got["lang"]] == ["ru", "en"]
+
+
+def test_any_number_of_languages_and_codes_of_three_letters(spark):
+    """70 invented languages, each with words of its own letters."""
+    rng = random.Random(7)
+    codes = [chr(97 + i // 26) + chr(97 + i % 26) + ("x" if i % 2 else "") for i in range(70)]
+    words = {c: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(30)] for c in codes}
+    say = lambda c, n: " ".join(rng.choice(words[c]) for _ in range(n))
+    rows = [(i, say(c := codes[i % 70], 40), c) for i in range(420)] + [(1000 + i, say(codes[0], 40), "und") for i in range(9)]
+    f = lg.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert f.languages == sorted(codes) and f.masks.shape == (2, 1 << lg.BITS)
+    table = lg.letters()
+    for c in codes:
+        m = f.look_up(lg.gram_hashes(say(c, 12), table))
+        assert f.languages[f.decide(m, np.array([0]), np.array([m.shape[1]]))[0][0]] == c
+
+
+def test_sample_is_bounded(spark):
+    rows = [(i, text("en", random.Random(i), 1), "en") for i in range(3000)] + [(5000 + i, text("de", random.Random(i), 1), "de") for i in range(5)]
+    f = lg.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), sample=40)
+    assert f.languages == ["de", "en"]

@@ -2,13 +2,14 @@
 
 Method: language-bitmask n-gram filters. From a bounded sample of documents with a label, the character 4-grams that are
 at home in each language are put into one bit-sliced Bloom filter: every position holds a mask with one bit per
-language, and the masks at a gram's positions, and-ed, are all languages that contain it. A line's counts of set bits
-per language, corrected for the filter's false positives, decide its language; a record's main language is the one
-of most of its characters. All grams of a batch are looked up at once.
+language (as many words of 64 bits as the languages need), and the masks at a gram's positions, and-ed, are all languages
+that contain it. A line's counts of set bits per language, corrected for the filter's false positives, decide its
+language; a record's main language is the one of most of its characters. All grams of a batch are looked up at once.
 
 Edge cases: null, empty and blank texts, and texts without a known gram, have no language and give no row; a label
-is what stands before '-' or '_', in any case; a label that names none of the known languages counts as missing;
-equal counts go to the language that comes first in the alphabet, with confidence 0; repeated rows give one result.
+is what stands before '-' or '_', in any case, two or three letters; a label that names none of the known languages counts
+as missing; equal counts go to the language that comes first in the alphabet, with confidence 0; repeated rows give one
+result. The number of languages is not limited; the filters take 8 MB for every 64 of them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import boilerplate
 
-#: Labelled documents a language is learned from (the first by hash of their id), and the characters of each that count.
+#: Labelled documents a language is learned from (about so many, by hash of the id; all of a language with fewer).
 SAMPLE_DOCS = 300
 #: A gram belongs to a language if it was seen at least LEAST_SEEN times and is not FOREIGN times rarer than elsewhere.
 LEAST_SEEN, FOREIGN = 3, 0.1
@@ -35,6 +36,9 @@ SEGMENT = 40
 #: Confidence below which a line is not taken for a foreign one.
 LEAST_SURE = 0.2
 
+# Codes of three letters that name no language.
+NO_LANGUAGE = ("mis", "mul", "und", "zxx")
+
 _WEIGHTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
@@ -73,11 +77,16 @@ class Filters:
     rates: np.ndarray
 
     @staticmethod
-    def build(languages: list[str], hashes: np.ndarray, bits: np.ndarray) -> Filters:
-        masks = np.zeros(1 << BITS, np.uint32)
-        for k in range(HASHES):
-            np.bitwise_or.at(masks, Filters._at(hashes, k), bits)
-        fill = np.array([((masks >> np.uint32(i)) & 1).mean() for i in range(len(languages))])
+    def build(languages: list[str], hashes: np.ndarray, bit: np.ndarray) -> Filters:
+        """From grams and the number of the language each belongs to."""
+        words = max(1, -(-len(languages) // 64))
+        masks = np.zeros((words, 1 << BITS), np.uint64)
+        for w in range(words):
+            here = (bit >= 64 * w) & (bit < 64 * (w + 1))
+            one = np.uint64(1) << (bit[here] - 64 * w).astype(np.uint64)
+            for k in range(HASHES):
+                np.bitwise_or.at(masks[w], Filters._at(hashes[here], k), one)
+        fill = np.array([((masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(languages))])
         return Filters(languages, masks, fill**HASHES)
 
     def parts(self) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -89,10 +98,11 @@ class Filters:
         return ((h if k == 0 else h * _WEIGHTS[k]) >> np.uint64(64 - BITS)).astype(np.int64)
 
     def look_up(self, h: np.ndarray) -> np.ndarray:
-        out = self.masks[self._at(h, 0)]
+        """words x grams: the languages that contain each gram."""
+        out = self.masks[:, self._at(h, 0)]
         for k in range(1, HASHES):
-            out &= self.masks[self._at(h, k)]
-        out[h == 0] = 0
+            out &= self.masks[:, self._at(h, k)]
+        out[:, h == 0] = 0
         return out
 
     def decide(self, masks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +110,7 @@ class Filters:
         n = np.maximum(ends - starts, 0)
         counts = np.zeros((len(self.languages), len(starts)))
         for i in range(len(self.languages)):
-            total = np.concatenate([[0], np.cumsum((masks >> np.uint32(i)) & 1, dtype=np.int64)])
+            total = np.concatenate([[0], np.cumsum((masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1), dtype=np.int64)])
             counts[i] = np.maximum(0, total[np.maximum(starts, ends)] - total[starts] - n * self.rates[i]) / (1 - self.rates[i])
         if not len(starts):
             return np.zeros(0, np.int64), np.zeros(0)
@@ -116,12 +126,16 @@ def label_code(label: Column) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> Filters:
-    """Learns the filters from at most `sample` documents of each language; what reaches the driver is bounded by that."""
+    """Learns the filters from about `sample` documents of each language, drawn by a plain filter on the hash of their id, so
+    that no task returns more than its share; what reaches the driver is the grams of that sample. The labels are counted
+    first, one row a language."""
     table = letters()
-    labelled = docs.select(id_col, label_code(F.col(lang_col)).alias("code")).filter((F.length("code") == 2) & F.col(id_col).isNotNull())
-    w = W.partitionBy("code").orderBy(F.xxhash64(id_col), id_col)
-    ids = labelled.withColumn("i", F.row_number().over(w)).filter(F.col("i") <= sample).select(id_col, "code")
-    chosen = docs.select(id_col, text_col).filter(F.trim(text_col) != "").join(F.broadcast(ids), id_col).select("code", text_col)
+    code = label_code(F.col(lang_col))
+    good = F.col("code").rlike(r"\A[a-z]{2,3}\z") & ~F.col("code").isin(*NO_LANGUAGE) & F.col(id_col).isNotNull()
+    labelled = docs.select(id_col, text_col, code.alias("code")).filter(good)
+    sizes = labelled.groupBy("code").agg(F.count(F.lit(1)).alias("_n"))
+    share = F.xxhash64(id_col, F.lit(4)) / F.lit(2.0**64) + 0.5
+    chosen = labelled.join(F.broadcast(sizes), "code").filter(share * F.col("_n") < sample).filter(F.trim(text_col) != "").select("code", text_col)  # a row a language
 
     def run(batches):
         for b in batches:
@@ -138,8 +152,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     got = kept.toPandas()
     languages = sorted(got["code"].unique())
     if not len(languages):
-        return Filters([], np.zeros(1 << BITS, np.uint32), np.zeros(0))
-    bit = got["code"].map({c: 1 << i for i, c in enumerate(languages)}).to_numpy(np.uint32)
+        return Filters([], np.zeros((1, 1 << BITS), np.uint64), np.zeros(0))
+    bit = got["code"].map({c: i for i, c in enumerate(languages)}).to_numpy(np.int64)
     return Filters.build(languages, got["gram"].to_numpy(np.int64).view(np.uint64), bit)
 
 
@@ -159,7 +173,7 @@ def line_languages(texts: DataFrame, filters: Filters) -> DataFrame:
                 return np.full(len(lines), -1), np.zeros(len(lines))
             starts = np.cumsum([0, *(len(x) + 1 for x in lines[:-1])])
             masks = f.look_up(gram_hashes("\n".join(lines), table))
-            return f.decide(masks, starts, np.minimum(starts + [len(x) - GRAM + 2 for x in lines], len(masks)))
+            return f.decide(masks, starts, np.minimum(starts + [len(x) - GRAM + 2 for x in lines], masks.shape[1]))
 
         for b in batches:
             size, no, owner, waiting, chars, got = [], [], [], [], 0, []

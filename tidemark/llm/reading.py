@@ -215,7 +215,7 @@ def grade(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
                     continue
                 if code != "en":
                     m = f.look_up(gram_hashes(text, table))
-                    lang, _ = f.decide(m, np.array([0]), np.array([max(0, len(m) - GRAM + 1)]))
+                    lang, _ = f.decide(m, np.array([0]), np.array([max(0, m.shape[1] - GRAM + 1)]))
                     if lang[0] != english:
                         continue
                 keep.append(doc)
