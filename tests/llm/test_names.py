@@ -63,3 +63,24 @@ def test_common_suffixes_are_refined(spark):
     reg = spark.createDataFrame([(f"{chr(97 + i % 26)}{chr(97 + i // 26)}zq Labs",) for i in range(60)], "canonical_org string")
     got = names.resolve(spark.createDataFrame([("abzq  LABS",)], "name string"), reg).collect()
     assert [r["canonical_org"] for r in got] == ["abzq Labs"]
+
+
+def test_no_name_goes_without_candidates(spark):
+    """600 registered names that differ in their middle only: every key of the typed ones is common at every refinement."""
+    mid = ["".join((chr(97 + i % 26), chr(97 + i // 26 % 26), chr(97 + i // 676), "x")) for i in range(600)]
+    reg = spark.createDataFrame([(f"Calz {m} Labs", None) for m in mid], "name string, site string")
+    typed = spark.createDataFrame([(f"CALZ {mid[i]} labs", None) for i in (0, 299, 599)] + [("calz 9999 labs", None)], "name string, site string")
+    pairs = names.candidates(typed, reg).groupBy("name").count().collect()
+    assert {r["name"] for r in pairs} == {f"CALZ {mid[i]} labs" for i in (0, 299, 599)} | {"calz 9999 labs"}
+    assert {r["name"]: r["count"] for r in pairs}["calz 9999 labs"] == 600
+    got = {r["name"]: r["canonical_org"] for r in names.resolve(typed, reg.withColumnRenamed("name", "canonical_org")).collect()}
+    assert {k: got.get(k) for k in (f"CALZ {mid[i]} labs" for i in (0, 299, 599))} == {f"CALZ {mid[i]} labs": f"Calz {mid[i]} Labs" for i in (0, 299, 599)}
+
+
+def test_the_site_refines_common_suffixes(spark):
+    reg = spark.createDataFrame([(f"C{chr(97 + i)}rion Labs", f"https://www.c{i}.example/start") for i in range(26)], "canonical_org string, root_url string")
+    typed = spark.createDataFrame([("Cxxxx Labs", "c3.example")], "name string, site string")
+    keys = {r["canonical"] for r in names.candidates(typed, reg.select(reg.canonical_org.alias("name"), names.site_of(reg.root_url).alias("site"))).collect()}
+    assert keys == {"Cdrion Labs"}
+    df = spark.createDataFrame([("https://a.b.example:80/x",), ("http://localhost/",), (None,)], "u string")
+    assert [r[0] for r in df.select(names.site_of(df.u)).collect()] == ["b.example", None, None]

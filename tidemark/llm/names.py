@@ -2,11 +2,14 @@
 
 Method: suffix blocking. Names are taken once per spelling. Every token gives its suffixes of at least MIN_SUFFIX
 characters as keys, read forwards and backwards, a shorter token itself; so does the name written together. A key that
-stands for more than MAX_BLOCK registered names is not used alone but together with the first letter of the name, and
-dropped only if that is still too common. Pairs that share a key are compared by the ratio of their longest common
-subsequence, as whole strings and token by token, over the surface forms a name may be typed in (reordered, without
-its middle, initials, acronym, abbreviated words, nicknames, host names). The best registered name wins if it is close
-enough and no other is as close.
+stands for more than MAX_BLOCK registered names is refined by other fields: the first letter of the name; if that is still
+too common, the first letters of its first and last word; and, where the rows have a field that points to the
+registered one (a host of the source), by that field. A key that no refinement makes rare is discarded only then, and only
+for names that have a rarer key; those that have none are compared with all names of their rarest key, in blocks, so no
+name goes without candidates. Pairs that share a key are compared by the ratio of their longest common subsequence,
+as whole strings and token by token, over the surface forms a name may be typed in (reordered, without its middle,
+initials, acronym, abbreviated words, nicknames, host names). The best registered name wins if it is close enough and no
+other is as close.
 
 Edge cases: null, blank and meaningless names ("Unknown") lead to none; a name that is equally close to two registered
 ones leads to none unless the alias table settles it; repeated rows share one decision; registry rows without a name
@@ -19,9 +22,11 @@ import re
 import unicodedata
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.urls import host
 from ..session import stored
 
 MIN_SUFFIX = 4
@@ -156,65 +161,99 @@ def score(name: str, canonical: str, forms: list[tuple[str, tuple[str, ...]]] |
     return best
 
 
-def _keys(words: list[str], initial: str) -> set[str]:
+def _keys(words: list[str]) -> set[str]:
     out = set()
     for w in [*words, "".join(words)]:
         if len(w) <= MIN_SUFFIX:
             out.add("=" + w)
         for mark, x in ((">", w), ("<", w[::-1])):
             out |= {mark + x[i:] for i in range(len(x) - MIN_SUFFIX + 1)}
-    return out | {f"{initial}|{k}" for k in out}
-
-
-def name_keys(name: str, registered: bool) -> list[str]:
-    """Blocking keys: suffixes alone and with the first letter of the name (any of its words, for typed names)."""
-    out: set[str] = set()
-    if registered:
-        words = [w for w, _ in tokens(name)]
-        for _, c in surfaces(name):
-            out |= _keys(list(c), words[0][0] if words else "")
-    else:
-        for t in variants(name):
-            words = [w for w, _ in t]
-            for initial in {w[0] for w in words}:
-                out |= _keys(words, initial)
+    return out
+
+
+def name_keys(name: str, registered: bool, site: str | None = None) -> list[tuple[str, int, str]]:
+    """Blocking keys as (suffix, refinement, key): the suffix alone (0), with the first letter of the name (1), with those of
+    its first and last word (2), with the site (3). Of typed names any word may be the first or the last one."""
+    out: set[tuple[str, int, str]] = set()
+    for words in [list(c) for _, c in surfaces(name)] if registered else [[w for w, _ in t] for t in variants(name)]:
+        whole = [w for w, _ in tokens(name)] if registered else words
+        if not words or not whole:
+            continue
+        first = {whole[0][0]} if registered else {w[0] for w in whole}
+        last = {whole[-1][0]} if registered else first
+        for k in _keys(words):
+            out.add((k, 0, k))
+            out |= {(k, 1, f"{a}|{k}") for a in first} | {(k, 2, f"{a}{b}|{k}") for a in first for b in last}
+            if site:
+                out.add((k, 3, f"{site}@{k}"))
     return sorted(out)
 
 
 def _keyed(names: DataFrame, registered: bool) -> DataFrame:
+    """(name, suffix, level, key) of (name, site)."""
+
     def run(batches):
         for b in batches:
-            n = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.string()), pa.array([name_keys(x, registered) for x in n], pa.list_(pa.string()))], names=["name", "keys"])
+            rows = [(n, *k) for n, site in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for k in name_keys(n, registered, site)]
+            cols = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.string()))], names=["name", "suffix", "level", "key"])
+
+    return names.select("name", "site").mapInArrow(run, "name string, suffix string, level int, key string").distinct()
 
-    return names.mapInArrow(run, "name string, keys array<string>").select("name", F.explode("keys").alias("key"))
 
+def site_of(url: Column) -> Column:
+    """The last two labels of a URL's host, which its subdomains share; null for none."""
+    return F.nullif(F.regexp_extract(host(url), r"([^./:@?#]+\.[^./:@?#]+)(?::[0-9]+)?\z", 1), F.lit(""))
 
-def _decide(batches):
-    forms: dict[str, list] = {}  # of the registered names, whose number is fixed
+
+def _score(batches):
+    """The two best candidates of each list; a name that is written the same but for case and accents is above all."""
     for b in batches:
-        names, cands, best, sure = b.column(0).to_pylist(), b.column(1).to_pylist(), [], []
-        for n, cs in zip(names, cands):
-            ranked = sorted(((score(n, c, forms.get(c) or forms.setdefault(c, surfaces(c))), c) for c in cs), reverse=True)
-            same = [c for c in cs if fold(c).split() == fold(n).split()]
-            if same:
-                ranked = [(1.0, same[0])] if len(same) == 1 else [(1.0, c) for c in same]
-            clear = ranked and ranked[0][0] >= LEAST and (len(ranked) == 1 or ranked[0][0] - ranked[1][0] >= LEAD)
-            best.append(ranked[0][1] if clear else None)
-            sure.append(ranked[0][0] if clear else None)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.string()), pa.array(sure, pa.float64())], names=["name", "canonical_org", "score"])
+        rows = []
+        for n, cs in zip(b.column("name").to_pylist(), b.column("canonical").to_pylist()):
+            plain = fold(n).split()
+            ranked = sorted(((2.0 if fold(c).split() == plain else score(n, c), c) for c in cs), reverse=True)
+            rows += [(n, s, c) for s, c in ranked[:2]]
+        cols = list(zip(*rows)) if rows else [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.float64(), pa.string()))], names=["name", "score", "canonical"])
+
+
+def candidates(names: DataFrame, registered: DataFrame, most: int = MAX_BLOCK) -> DataFrame:
+    """(name, canonical): the pairs to compare. A suffix is used by its least refined key that stands for at most `most`
+    registered names; a name none of whose suffixes has one is compared with all names of its rarest key. Keys are counted
+    before any name is looked up by them."""
+    theirs = stored(_keyed(registered, True).withColumnRenamed("name", "canonical"))
+    sizes = theirs.groupBy("key").agg(F.count_distinct("canonical").alias("m"))
+    met = stored(_keyed(names, False).join(sizes, "key"))
+    rare = met.filter(F.col("m") <= most).groupBy("name", "suffix").agg(F.min_by("key", F.struct("level", "m", "key")).alias("key"), F.min("level").alias("level"))
+    keys = met.filter(F.col("m") <= most).join(rare.select("name", "suffix", "level"), ["name", "suffix", "level"]).select("name", "key")
+    left = met.join(keys.select("name").distinct(), "name", "left_anti").groupBy("name").agg(F.min_by("key", F.struct("m", "key")).alias("key"))
+    return keys.unionByName(left).distinct().join(theirs.select("key", "canonical"), "key").select("name", "canonical").distinct()
+
+
+#: Candidates of a name that are compared in one row, and rows of names a task compares at a time.
+TOGETHER, PER_TASK = 256, 2000
 
 
 def resolve(names: DataFrame, registry: DataFrame) -> DataFrame:
-    """(name, canonical_org, score) of the distinct names in `names` that mean a registered one."""
-    reg = registry.filter(F.trim("canonical_org") != "").select(F.col("canonical_org").alias("name")).distinct()
-    keys = _keyed(reg, True).withColumnRenamed("name", "canonical")
-    small = keys.groupBy("key").agg(F.collect_list("canonical").alias("canonical"), F.count(F.lit(1)).alias("m")).filter(F.col("m") <= MAX_BLOCK)
+    """(name, canonical_org, score) of the distinct names in `names` (with their `site`, if it is known) that mean a
+    registered one."""
     bare = F.lower(F.regexp_replace("name", r"[^\p{L}\p{N}]+", ""))
-    typed = names.filter(F.col("name").isNotNull() & ~bare.isin(*_NOBODY)).distinct()
-    pairs = _keyed(typed, False).join(small.select("key", "canonical"), "key").select("name", F.explode("canonical").alias("canonical"))
-    cands = pairs.groupBy("name").agg(F.collect_set("canonical").alias("canonical"))
-    return cands.mapInArrow(_decide, "name string, canonical_org string, score double").filter("canonical_org IS NOT NULL")
+    root = site_of(F.col("root_url")) if "root_url" in registry.columns else F.lit(None).cast("string")
+    reg = registry.filter(F.trim("canonical_org") != "").select(F.col("canonical_org").alias("name"), root.alias("site")).distinct()
+    typed = names if "site" in names.columns else names.withColumn("site", F.lit(None).cast("string"))
+    typed = typed.filter(F.col("name").isNotNull() & ~bare.isin(*_NOBODY)).select("name", "site").distinct()
+    pairs = candidates(typed, reg)
+    # lists of bounded length: a name with many candidates has several
+    sizes = pairs.groupBy("name").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("_parts"))
+    lists = pairs.join(sizes, "name").groupBy("name", F.pmod(F.xxhash64("canonical"), F.col("_parts")).alias("_part")).agg(F.sort_array(F.collect_list("canonical")).alias("canonical"))
+    lists = stored(lists.select("name", "canonical"))
+    tasks = max(1, min(-(-lists.count() // PER_TASK), 10_000))
+    best = lists.repartition(max(tasks, names.sparkSession.sparkContext.defaultParallelism)).mapInArrow(_score, "name string, score double, canonical string")
+    two = best.withColumn("_r", F.row_number().over(W.partitionBy("name").orderBy(F.desc("score"), F.desc("canonical")))).filter("_r <= 2")
+    top = two.groupBy("name").agg(F.max(F.struct("score", "canonical")).alias("t"), F.min("score").alias("_low"), F.count(F.lit(1)).alias("_n"))
+    clear = (F.col("t.score") >= LEAST) & ((F.col("_n") == 1) | (F.col("t.score") - F.col("_low") >= LEAD))
+    return top.filter(clear).select("name", F.col("t.canonical").alias("canonical_org"), F.least(F.col("t.score"), F.lit(1.0)).alias("score"))
 
 
 def found(rules: DataFrame, aliases: DataFrame, registry: DataFrame) -> DataFrame:
@@ -223,9 +262,13 @@ def found(rules: DataFrame, aliases: DataFrame, registry: DataFrame) -> DataFram
     A row of the alias table that states a canonical_org is led by that, else by the alias itself; a typed source_org
     is led by itself, else by the alias table (by its lower-cased spelling)."""
     exact = registry.filter("canonical_org IS NOT NULL").select(F.col("canonical_org").alias("name")).distinct()
-    org = rules.select("id", F.col("source_org").alias("name")).filter("name IS NOT NULL").join(exact, "name", "left_anti")
+    url = F.col("source_url") if "source_url" in rules.columns else F.lit(None).cast("string")
+    org = rules.select("id", F.col("source_org").alias("name"), site_of(url).alias("site")).filter("name IS NOT NULL").join(exact, "name", "left_anti")
     al = aliases.filter("alias IS NOT NULL").select("alias", "canonical_org").distinct()
-    names = org.select("name").distinct().unionByName(al.select(F.col("alias").alias("name"))).unionByName(al.select(F.col("canonical_org").alias("name")).filter("name IS NOT NULL"))
+    # the commonest site of each spelling
+    sited = org.groupBy("name", "site").agg(F.count(F.lit(1)).alias("n")).groupBy("name").agg(F.max_by("site", F.when(F.col("site").isNotNull(), F.struct("n", "site"))).alias("site"))
+    names = sited.select("name").unionByName(al.select(F.col("alias").alias("name"))).unionByName(al.select(F.col("canonical_org").alias("name")).filter("name IS NOT NULL"))
+    names = names.distinct().join(sited, "name", "left")
     known = stored(resolve(names, registry).select("name", F.col("canonical_org").alias("to")))
     by = lambda c, to: known.select(F.col("name").alias(c), F.col("to").alias(to))
     al = al.join(by("canonical_org", "by_canonical"), "canonical_org", "left").join(by("alias", "by_alias"), "alias", "left")
