@@ -80,8 +80,10 @@ def test_nodes():
     assert bp.node("  Posted by Ann42 on 2025-01-02 - 7 min read")[1] == "slots # on # - # min read"
     assert bp.node("A title (17)") == ("a title", "", True) and bp.node("Home › News › Án item")[:2] == ("home › news › an item", "parts ›")
     assert bp.node("Subscribe to the Oak Mill newsletter", "oakmill")[0] == "subscribe to the oak @ newsletter"
-    long = "Word " * 100
-    assert bp.node(long) == (long.strip().lower(), "", False)
+    long = "We keep 12 small files on your device " * 20
+    assert bp.node(long + "until 2025-01-02")[0] == bp.node(long + "until 2026-11-30")[0] and bp.node(long)[1] == ""
+    for odd in ("x" * 300_000, "x1" * 150_000, "x" + " " * 300_000 + "y", "1 " * 100_000, "| " * 100_000, "(" * 300_000):
+        assert bp.node(odd)[0]
 
 
 def test_matching_is_a_longest_common_sequence():
@@ -95,6 +97,25 @@ def test_matching_is_a_longest_common_sequence():
         return t[-1][-1]
 
     for _ in range(200):
-        a, b = rng.sample(range(30), rng.randrange(1, 20)), rng.sample(range(30), rng.randrange(1, 20))
-        hit = bp.match_trees(a, [0] * len(a), {x: i for i, x in enumerate(b)}, {})
-        assert len(hit) == lcs(a, b)
+        a, b = ([rng.randrange(1, k) for _ in range(rng.randrange(1, 30))] for k in (8, 8))
+        hit = bp.match_trees(a, [0] * len(a), bp._places(b), {})
+        assert len(hit) == len(set(hit)) == lcs(a, b)
+    many = [7] * 20_000
+    assert len(bp.match_trees(many, [0] * len(many), bp._places(many), {})) == 20_000
+
+
+def test_a_line_can_be_template_on_one_host_and_content_on_another(spark):
+    """The line closes every page of one site; on another it is the sentence of one article among many."""
+    rows, truth = [], {}
+    for k, host in enumerate(["oakmill.example", "fernbay.example", "stonelea.example"]):
+        r, t = site(host, 60, k, 1000 * k)
+        rows, truth = rows + r, truth | t
+    line = "Water the plants before the sun is high."
+    rows = [(p, u, t, x + "\n" + line if 0 <= p < 60 or p == 2007 else x, *rest) for p, u, t, x, *rest in rows]
+    rows = [(p, u, t, x.replace("\n" + line, "").replace("\n" + t + "\n", "\n" + t + "\n" + line + "\n", 1) if p == 2007 else x, *rest) for p, u, t, x, *rest in rows]
+    got = {}
+    for r in bp.found(spark.createDataFrame(rows, DDL)).collect():
+        got.setdefault(r["page_id"], set()).add(r["line_no"])
+    texts = {r[0]: r[3].split("\n") for r in rows}
+    assert all(len(texts[p]) - 1 in got[p] for p in range(60))
+    assert texts[2007].index(line) not in got[2007]

@@ -5,10 +5,12 @@ set off by separators. A line's node label is the line without case, accents and
 (dates with a name, rows of separated parts) have a second label for their frame. Pages of one host that end alike
 (one template of the site in one language) are put into blocks of at most BLOCK pages, and each page's tree is
 aligned with those of a few other articles of its block by simple tree matching, i.e. the longest common sequence of
-equal nodes in order. A label that is found again in a large share of these alignments is a constant of the template;
-the shares are summed over all blocks, so sites with few pages profit from others with the same parts. Labels that
-serve as titles of pages are slots, whatever their share. Constants whose following lines carry counts are heads of
-lists: the run of title-like lines after them is a repeated slot of the template and not of the article.
+equal nodes in order, whatever labels repeat. A label that is found again in a large share of these alignments is a
+constant of the site's template. Every host has a wrapper of its own: shares are summed over the blocks of all hosts, so
+sites with few pages profit from others with the same parts, but where a host's own pages say clearly otherwise they decide,
+so that a line may be template on one host and content on another. Labels that serve as titles of pages are slots, whatever
+their share. Constants whose following lines carry counts are heads of lists: the run of title-like lines after them is a
+repeated slot of the template and not of the article.
 
 Edge cases: null and blank texts have no lines; blank lines are never returned; a host with a single page has
 only the constants learned elsewhere; repeated captures of a page never vouch for each other; repeated rows give their
@@ -32,27 +34,36 @@ from ..session import stored
 BLOCK, PILOTS = 64, 5
 #: Share of alignments from which a label is a constant, and the alignments assumed to have failed beforehand.
 CONSTANT, PRIOR = 0.07, 4.0
+#: A host decides for itself that a label is content if, of at least SURE recurrences to be expected among its own pages, it has
+#: fewer than ABSENT of them; and that it is a constant from OWN_PAGES pages on that find it in OWN of their alignments.
+SURE, ABSENT, OWN_PAGES, OWN = 20, 0.1, 10, 0.3
 #: Share of a label's lines that must be titles for it to be a slot, and share of counted followers for a list head.
 TITLE, HEAD = 0.02, 0.15
 #: Share of its host's pages below which a template's own last line is no evidence for itself.
 RARE = 0.02
-LONG = 200
-
-_NUMBER = re.compile(r"\w*\d+(?:[./:\-]\d+)*\w*")
+#: What a frame looks like: characters a separated part has on the average at most, those of a name before the first slot,
+#: and letters after it.
+PART, NAME, REST = 40, 40, 16
+#: Places of a label in a page above which its repetitions are matched in turn and not in every way.
+MANY = 32
+
+_TOKEN = re.compile(r"\w+")
+_JOINED = re.compile(r"#(?:[./:\-]#)+")
 _SPACES = re.compile(r"\s+")
 _SEPARATED = re.compile(r" *(?:[|·•›»>/]|  ) +")
 _WORD = re.compile(r"[a-z0-9]{4,}")
 _NAMES = re.compile(r"@(?:[ &]+@)*")
 # Separators that set off parts even where there is only one.
 _STRONG = {"|", "·", "•", "›", "»"}
-_COUNTED = re.compile(r"\s*\(#\)$")
 
 
 def _label(line: str) -> str:
     s = unicodedata.normalize("NFKD", line.strip().lower())
     if not s.isascii():
         s = "".join(c for c in s if not unicodedata.combining(c))
-    return _NUMBER.sub("#", s)
+    if any(map(str.isdigit, s)):
+        s = _JOINED.sub("#", _TOKEN.sub(lambda m: "#" if any(map(str.isdigit, m[0])) else m[0], s))
+    return s
 
 
 def site_core(site: str) -> str:
@@ -62,24 +73,22 @@ def site_core(site: str) -> str:
 
 def node(line: str, core: str = "") -> tuple[str, str, bool]:
     """(label, frame or '', counted): the frame is what stays the same in a line whose parts or names vary. Words of
-    the site's own name (core) become one mark, so that equal parts of different sites have equal labels. A line beyond
-    LONG characters is its own label but for its case."""
-    if len(line) > LONG:
-        return line.strip().lower(), "", False
+    the site's own name (core) become one mark, so that equal parts of different sites have equal labels."""
     s = _label(line)
     if core:
         s = _NAMES.sub("@", _WORD.sub(lambda m: "@" if m[0] in core else m[0], s))
-    counted = bool(_COUNTED.search(s))
+    counted = s.endswith("(#)")
     if counted:
-        s = _COUNTED.sub("", s)
+        s = s[:-3].rstrip()
     frame = ""
-    if len(s) <= 120:
-        marks = _SEPARATED.findall(s)
-        at = s.find("#")
-        if marks and len(set(m.strip() for m in marks)) == 1 and (len(marks) >= 2 or marks[0].strip() in _STRONG):
-            frame = "parts " + marks[0].strip()
-        elif 0 < at <= 40 and s.count("#") >= 2 and sum(c.isalpha() for c in s[at:]) <= 16:
-            frame = "slots " + s[at:]
+    marks = _SEPARATED.findall(s)
+    at = s.find("#")
+    parts = len(marks) + 1
+    # parts and slots are short on the average; a sentence with a bar or two numbers in it is neither
+    if marks and len(s) <= PART * parts and len(set(m.strip() for m in marks)) == 1 and (parts >= 3 or marks[0].strip() in _STRONG):
+        frame = "parts " + marks[0].strip()
+    elif 0 < at <= NAME and s.count("#") >= 2 and sum(c.isalpha() for c in s[at:]) <= REST:
+        frame = "slots " + s[at:]
     return _SPACES.sub(" ", s), frame, counted
 
 
@@ -121,41 +130,58 @@ def trees(pages: DataFrame) -> DataFrame:
     return stored(p.mapInArrow(_trees, _TREES).dropDuplicates(["row"]))
 
 
-def _longest(positions: list[int]) -> list[int]:
-    """Indices of a longest strictly increasing run of positions; -1 stands for no position."""
-    tails, at, back = [], [], [-1] * len(positions)
-    for i, p in enumerate(positions):
-        if p < 0:
-            continue
-        k = bisect_left(tails, p)
-        back[i] = at[k - 1] if k else -1
-        if k == len(tails):
-            tails.append(p)
-            at.append(i)
-        else:
-            tails[k], at[k] = p, i
-    out, i = [], at[-1] if at else -1
-    while i >= 0:
-        out.append(i)
-        i = back[i]
+def _longest(places: list[list[int]]) -> list[int]:
+    """Indices of a longest run whose places, one of each index's, strictly increase. Of one index the places are taken
+    from the last to the first, so that it cannot follow itself."""
+    tails, at, owner, back = [], [], [], []
+    for i, ps in enumerate(places):
+        for p in reversed(ps):
+            k = bisect_left(tails, p)
+            owner.append(i)
+            back.append(at[k - 1] if k else -1)
+            if k == len(tails):
+                tails.append(p)
+                at.append(len(owner) - 1)
+            else:
+                tails[k], at[k] = p, len(owner) - 1
+    out, n = [], at[-1] if at else -1
+    while n >= 0:
+        out.append(owner[n])
+        n = back[n]
     return out
 
 
-def match_trees(label: list[int], frame: list[int], pilot: dict[int, int], pilot_frames: dict[int, int]) -> list[int]:
+def match_trees(label: list[int], frame: list[int], pilot: dict[int, list[int]], pilot_frames: dict[int, list[int]]) -> list[int]:
     """Simple tree matching of two pages with ordered lines: the indices of the lines matched, in any order.
-    A line may stand for one with the same label or, failing that, the same frame."""
-    return _longest([pilot.get(a, pilot_frames.get(f, -1) if f else -1) for a, f in zip(label, frame)])
-
-
-_SHARES = "label long, found double, tried double, lines long, listing long, titles long"
+    A line may stand for one with the same label or, failing that, the same frame; pilot and pilot_frames hold the
+    places of each, in order."""
+    none: list[int] = []
+    places, nth = [], {}
+    for a, f in zip(label, frame):
+        ps = pilot.get(a) or (pilot_frames.get(f, none) if f else none)
+        if len(ps) > MANY:  # the same line over and over: the n-th stands for the n-th
+            n = nth[a] = nth.get(a, -1) + 1
+            ps = ps[n : n + 1]
+        places.append(ps)
+    return _longest(places)
+
+
+_SHARES = "site long, label long, found double, tried double, lines long, listing long, titles long, pairs double, again double"
+
+
+def _places(v: list[int]) -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
+    for i, x in enumerate(v):
+        if x:
+            out.setdefault(x, []).append(i)
+    return out
 
 
 def _align(block: pa.Table) -> pa.Table:
     """Aligns the pages of one block; per label: alignments in which it was found again and tried, and its lines."""
     article, labels, frames, counted = (block.column(c).to_pylist() for c in ("article", "label", "frame", "counted"))
     ends, rows = bool(block.column("ends")[0].as_py()), block.column("row").to_pylist()
-    first = [{x: i for i, x in reversed(list(enumerate(v)))} for v in labels]
-    first_frames = [{x: i for i, x in reversed(list(enumerate(v))) if x} for v in frames]
+    first, first_frames = [_places(v) for v in labels], [_places(v) for v in frames]
     order = sorted(range(len(article)), key=lambda i: (article[i], rows[i]))
     sums: dict[int, list[float]] = {}
     for at, i in enumerate(order):
@@ -186,27 +212,42 @@ def _align(block: pa.Table) -> pa.Table:
         for k, x in enumerate(labels[i]):
             if any(follow[k + 1 : k + 3]) and not follow[k]:
                 sums[x][3] += 1
+    holders: dict[int, set] = {}
+    for i in range(len(article)):
+        for x in {*labels[i], *frames[i]} - {0}:
+            holders.setdefault(x, set()).add(article[i])
+    held = [len(holders[x]) for x in sums]
+    others = len(set(article)) - 1
     cols = list(zip(*sums.values())) if sums else [[]] * 4
-    arrays = [pa.array(list(sums), pa.int64()), pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array([0] * len(sums), pa.int64())]
-    return pa.Table.from_arrays(arrays, names=["label", "found", "tried", "lines", "listing", "titles"])
+    site = block.column("site")[0].as_py()
+    arrays = [pa.array([site] * len(sums), pa.int64()), pa.array(list(sums), pa.int64()), pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array([0] * len(sums), pa.int64())]
+    arrays += [pa.array([float(c * others) for c in held], pa.float64()), pa.array([float(c * (c - 1)) for c in held], pa.float64())]
+    return pa.Table.from_arrays(arrays, names=["site", "label", "found", "tried", "lines", "listing", "titles", "pairs", "again"])
 
 
 def wrapper(t: DataFrame) -> DataFrame:
-    """(label, kind, found, tried): what is known of the labels that are constants (1), slots of titles (2) and heads
-    of lists (3)."""
+    """(site, label, kind): the wrapper of each host: its labels that are constants (1), slots of titles (2) and heads of
+    lists (3)."""
     sizes = t.groupBy("site", "template").agg(F.count(F.lit(1)).alias("size"))
     hosts = sizes.groupBy("site").agg(F.sum("size").alias("pages"))
     sizes = sizes.join(hosts, "site").select("template", "size", (F.col("size") >= RARE * F.col("pages")).alias("ends"))
     blocks = t.join(sizes, "template").withColumn("salt", F.pmod(F.xxhash64("article"), F.ceil(F.col("size") / BLOCK)))
-    shares = blocks.select("template", "salt", "row", "article", "label", "frame", "counted", "ends").groupBy("template", "salt").applyInArrow(_align, _SHARES)
-    zero = F.lit(0.0)
-    titles = t.filter("title <> 0").select(F.col("title").alias("label"), zero.alias("found"), zero.alias("tried"), F.lit(0).cast("long").alias("lines"), F.lit(0).cast("long").alias("listing"), F.lit(1).cast("long").alias("titles"))
-    s = shares.unionByName(titles).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("found", "tried", "lines", "listing", "titles")])
+    shares = blocks.select("site", "template", "salt", "row", "article", "label", "frame", "counted", "ends").groupBy("template", "salt").applyInArrow(_align, _SHARES)
+    zero, none = F.lit(0.0), F.lit(0).cast("long")
+    titles = t.filter("title <> 0").select("site", F.col("title").alias("label"), zero.alias("found"), zero.alias("tried"), none.alias("lines"), none.alias("listing"), F.lit(1).cast("long").alias("titles"), zero.alias("pairs"), zero.alias("again"))
+    cols = ("found", "tried", "lines", "listing", "titles", "pairs", "again")
+    own = stored(shares.unionByName(titles).groupBy("site", "label").agg(*[F.sum(c).alias(c) for c in cols]))
+    s = own.groupBy("label").agg(*[F.sum(c).alias(c) for c in cols])
     slot = (F.col("titles") > 0) & (F.col("titles") >= TITLE * F.col("lines"))
-    constant = F.col("found") >= CONSTANT * (F.col("tried") + PRIOR)
     head = F.col("listing") >= HEAD * F.col("lines")
-    kind = F.when(slot, 2).when(constant & head, 3).when(constant, 1).otherwise(0)
-    return s.select("label", kind.alias("kind"), "found", "tried", "lines", "listing", "titles").filter("kind > 0")
+    general = F.col("found") >= CONSTANT * (F.col("tried") + PRIOR)
+    s = s.select("label", F.try_divide("again", "pairs").alias("share"), general.alias("general"), slot.alias("slot"), head.alias("head"))
+    j = own.select("site", "label", "found", "tried", "pairs", "again").join(s, "label")
+    expected = F.col("pairs") * F.coalesce("share", F.lit(0.0))
+    content = (expected >= SURE) & (F.col("again") < ABSENT * expected)
+    constant = F.col("general") & ~content | (F.col("tried") >= OWN_PAGES) & (F.col("found") >= OWN * F.col("tried"))
+    kind = F.when(F.col("slot"), 2).when(constant & F.col("head"), 3).when(constant, 1).otherwise(0)
+    return j.select("site", "label", kind.alias("kind")).filter("kind > 0")
 
 
 def article_mask(label: list[int], frame: list[int], counted: list[bool], kinds: dict[int, int], title: int) -> list[bool]:
@@ -243,9 +284,9 @@ def _apply(batches):
 def lines(pages: DataFrame) -> DataFrame:
     """(row, page_id, line_no, article): per page its non-blank lines and whether they belong to the article."""
     t = trees(pages)
-    known = stored(wrapper(t).select("label", "kind"))
-    used = t.select("row", F.explode(F.array_distinct(F.concat("label", "frame"))).alias("label"))
-    kinds = used.join(known, "label").groupBy("row").agg(F.collect_list(F.struct("label", "kind")).alias("kinds"))
+    known = stored(wrapper(t))
+    used = t.select("row", "site", F.explode(F.array_distinct(F.concat("label", "frame"))).alias("label"))
+    kinds = used.join(known, ["site", "label"]).groupBy("row").agg(F.collect_list(F.struct("label", "kind")).alias("kinds"))
     return t.drop("article", "site", "template").join(kinds, "row", "left").mapInArrow(_apply, _LINES)
 
 
