@@ -35,8 +35,9 @@ BLOCK, PILOTS = 64, 5
 #: Share of alignments from which a label is a constant, and the alignments assumed to have failed beforehand.
 CONSTANT, PRIOR = 0.07, 4.0
 #: A host decides for itself that a label is content if, of at least SURE recurrences to be expected among its own pages, it has
-#: fewer than ABSENT of them; and that it is a constant from OWN_PAGES pages on that find it in OWN of their alignments.
-SURE, ABSENT, OWN_PAGES, OWN = 20, 0.1, 10, 0.3
+#: fewer than ABSENT of them; and that it is a constant from OWN_PAGES pages on that find it in OWN of their alignments. Pages
+#: count for the first if they share at least TYPICAL of the lines that the median page of their block shares with others.
+SURE, ABSENT, OWN_PAGES, OWN, TYPICAL = 30, 0.05, 10, 0.3, 0.8
 #: Share of a label's lines that must be titles for it to be a slot, and share of counted followers for a list head.
 TITLE, HEAD = 0.02, 0.15
 #: Share of its host's pages below which a template's own last line is no evidence for itself.
@@ -184,6 +185,7 @@ def _align(block: pa.Table) -> pa.Table:
     first, first_frames = [_places(v) for v in labels], [_places(v) for v in frames]
     order = sorted(range(len(article)), key=lambda i: (article[i], rows[i]))
     sums: dict[int, list[float]] = {}
+    shared = [0.0] * len(order)
     for at, i in enumerate(order):
         pilots = []
         for step in range(1, len(order)):
@@ -203,6 +205,7 @@ def _align(block: pa.Table) -> pa.Table:
                     seen.add(frames[i][x])
             for x in seen:
                 got[x] = got.get(x, 0.0) + 1.0 / len(pilots)
+        shared[i] = sum(got.values())
         for x in {*labels[i], *frames[i]} - {0}:
             s = sums.setdefault(x, [0.0, 0.0, 0, 0])
             s[0] += got.get(x, 0.0)
@@ -213,11 +216,12 @@ def _align(block: pa.Table) -> pa.Table:
             if any(follow[k + 1 : k + 3]) and not follow[k]:
                 sums[x][3] += 1
     holders: dict[int, set] = {}
-    for i in range(len(article)):
+    typical = [i for i in order if shared[i] >= TYPICAL * sorted(shared)[len(shared) // 2]]
+    for i in typical:
         for x in {*labels[i], *frames[i]} - {0}:
             holders.setdefault(x, set()).add(article[i])
-    held = [len(holders[x]) for x in sums]
-    others = len(set(article)) - 1
+    held = [len(holders.get(x, ())) for x in sums]
+    others = max(0, len({article[i] for i in typical}) - 1)
     cols = list(zip(*sums.values())) if sums else [[]] * 4
     site = block.column("site")[0].as_py()
     arrays = [pa.array([site] * len(sums), pa.int64()), pa.array(list(sums), pa.int64()), pa.array(cols[0], pa.float64()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array([0] * len(sums), pa.int64())]
