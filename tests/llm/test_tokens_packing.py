@@ -99,3 +99,26 @@ def test_documents_with_nulls_and_long_texts(spark, exact):
     sizes = {r["doc_id"]: len(exact.encode_ordinary(r["text"] or "")) for r in df.collect()}
     check(rows, sizes, 128)
     assert df.filter(F.col("doc_id").isNull()).count() == 1 and any(r[1] is None for r in rows)
+
+
+def test_decode_of_odd_lists(spark):
+    rows = [(1, []), (2, None), (3, [15496, 11, 995]), (3, [15496]), (4, [50_000_000]), (5, [-1]), (None, [0])]
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in tokens.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>")).collect()), key=str)
+    assert got == [(0, "!"), (1, ""), (2, None), (3, "Hello"), (3, "Hello, world"), (4, None), (5, None)]
+
+
+def test_null_ids_are_no_hot_group(spark):
+    sizes = spark.range(3000).selectExpr("if(id % 3 = 0, NULL, id) AS doc_id", "700 AS n_ids")
+    packed = packing.pack(sizes, docs_per_group=100)
+    per = packed.filter("doc_id IS NULL").selectExpr("shiftright(container, 32) AS g").groupBy("g").count().collect()
+    assert packed.count() == 3000 and len(per) > 20 and max(r["count"] for r in per) < 100
+    c = packing.checks(packed).first()
+    assert (c["docs"], c["over"], c["overlapping"]) == (2001, 0, 0)
+
+
+def test_checks_see_faults(spark):
+    ddl = "container long, doc_id long, offset long, length int, container_offset int"
+    good = [(1, 1, 0, 2048, 0), (2, 1, 2048, 10, 0), (2, 2, 0, 5, 10), (2, 3, 0, 0, 0)]
+    assert tuple(packing.checks(spark.createDataFrame(good, ddl)).first()) == (3, 0, 0, 0)
+    bad = [(1, 1, 0, 2000, 0), (1, 2, 0, 100, 2000), (2, 3, 0, 5, 0), (2, 4, 0, 5, 3), (3, 5, 0, 5, 0), (4, 5, 5, 5, 0), (5, 6, 9, 5, 0)]
+    assert tuple(packing.checks(spark.createDataFrame(bad, ddl)).first()) == (6, 1, 2, 1)

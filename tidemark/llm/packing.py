@@ -8,8 +8,8 @@ groups of bounded size that are packed independently, which leaves at most a con
 Result: one row per piece (container, doc_id, offset, length, container_offset); offset counts from the start of the
 document, container_offset from the start of the container. A document longer than the capacity gives full
 pieces and a rest, any other is one piece. Null, empty and otherwise token-free documents have length 0: they take no
-room and lie in the first container of their group. Repeated and null doc_ids are packed as separate documents. An empty
-table gives no rows.
+room and lie in the first container of their group. Repeated and null doc_ids are packed as separate documents, null ones
+spread over all groups. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -112,7 +112,8 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, docs_per_group: int = DOCS_
     """Packs (doc_id, n_ids). The rows are counted once, to choose the number of groups."""
     sizes = stored(sizes)
     groups = max(1, -(-sizes.count() // docs_per_group))
-    keyed = sizes.withColumn("group", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(groups)).cast("long"))
+    # rows without an id are spread by their place in the stored table, so that they are no hot group
+    keyed = sizes.withColumn("group", F.pmod(F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id()), F.lit(9)), F.lit(groups)).cast("long"))
 
     def run(t: pa.Table) -> pa.Table:
         rows = _pack_group(t.column("group")[0].as_py(), t.column("doc_id").to_pylist(), t.column("n_ids").to_pylist(), capacity)
@@ -125,3 +126,14 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, docs_per_group: int = DOCS_
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
     """p9_containers: the documents of a corpus in containers of `capacity` tokens."""
     return pack(token_counts(docs, vocabulary), capacity)
+
+
+def checks(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """What must hold of any packing: (docs, over, torn, overlapping): documents; containers above the capacity; documents
+    no longer than it, or with a gap in their offsets, that lie in more pieces than they may; pieces that overlap in a container."""
+    over = packed.groupBy("container").agg(F.sum("length").alias("n"), F.max(F.col("container_offset") + F.col("length")).alias("end"))
+    over = over.agg(F.count(F.when(F.col("n") > capacity, 1)).alias("over"), F.count(F.when(F.col("n") != F.col("end"), 1)).alias("overlapping"))
+    per = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.count(F.lit(1)).alias("pieces"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    torn = (F.col("n") != F.col("end")) | (F.col("pieces") > F.greatest(F.lit(1), F.ceil(F.col("n") / capacity)))
+    per = per.agg(F.count(F.lit(1)).alias("docs"), F.count(F.when(torn, 1)).alias("torn"))
+    return per.join(F.broadcast(over)).select("docs", "over", "torn", "overlapping")  # one row each

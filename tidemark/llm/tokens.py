@@ -170,11 +170,28 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "d
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, text) from (doc_id, ids): joins the table of token bytes (of the vocabulary's fixed size) and puts the
-    bytes together by position. An empty list gives ''. doc_id must be unique."""
-    spark = encoded.sparkSession
-    rows = [(i, bytearray(t)) for t, i in read_ranks(vocabulary).items()]
-    tokens = F.broadcast(spark.createDataFrame(rows, "id int, bytes binary"))
-    long = encoded.select("doc_id", F.posexplode_outer("ids").alias("at", "id")).join(tokens, "id", "left")
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("at", F.hex("bytes").alias("x")))), lambda p: F.coalesce(p["x"], F.lit("")))
-    return long.groupBy("doc_id").agg(F.decode(F.unhex(F.array_join(parts, "")), "UTF-8").alias("text"))
+    """(doc_id, text) from (doc_id, ids): every id is joined to the table of token bytes, which has the vocabulary's fixed
+    size and is broadcast, and the bytes are put together by position. An empty list gives '', a null one or one with an
+    unknown id null; bytes that are no UTF-8 are replaced."""
+    tokens = sorted((i, t) for t, i in read_ranks(vocabulary).items())
+    sizes = np.zeros(tokens[-1][0] + 1, np.int64)
+    for i, t in tokens:
+        sizes[i] = len(t)
+    shared = encoded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(t for _, t in tokens), np.uint8), sizes))
+
+    def run(batches):
+        blob, size = shared.value
+        start = np.cumsum(size) - size
+        for b in batches:
+            out = []
+            for ids in b.column("ids"):
+                x = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else None
+                if x is None or len(x) and (x.min() < 0 or x.max() >= len(size) or not size[x].all()):
+                    out.append(None)
+                    continue
+                n = size[x]
+                at = np.arange(n.sum()) + np.repeat(start[x] - (np.cumsum(n) - n), n)
+                out.append(blob[at].tobytes().decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
