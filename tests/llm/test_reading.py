@@ -80,3 +80,11 @@ def test_model_probabilities_sum_to_one():
     for x, y in zip(a, b):
         p = np.exp(-g.models.surprisal(np.full(v, x), np.full(v, y), np.arange(v)))
         assert np.allclose(p.sum(0), 1)
+
+
+def test_sample_is_bounded_in_documents_and_characters(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('word ', 20) AS text")
+    labels = spark.range(4000).selectExpr("id AS doc_id", "'r' AS rater", "1 + cast(id % 5 AS int) AS level", "timestamp'2025-01-01' AS rated_at")
+    assert 300 < rd.rated(docs, labels, sample=400).count() < 500
+    assert 150 < rd.rated(docs, labels, chars=20_000).count() < 250
+    assert rd.rated(docs, labels).count() == 4000 and rd.rated(docs, labels.limit(0)).count() == 0

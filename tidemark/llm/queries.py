@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import table
 from . import boilerplate, language, names, neighbors, packing, reading, survivor, tokens
 
@@ -13,6 +15,8 @@ QUERIES = {
     "p5_golden": lambda s, d: survivor.golden(table(s, d, "rules")),
     "p6_found": lambda s, d: neighbors.found(table(s, d, "rules")),
     "p8_ids": lambda s, d: tokens.encode(table(s, d, "documents")),
+    "p8_roundtrip": lambda s, d: tokens.decode(tokens.encode(table(s, d, "documents"))).select("doc_id", F.sha2("text", 256).alias("text_hash")),
+    "p9_checks": lambda s, d: packing.checks(packing.pack_documents(table(s, d, "documents"))),
     "p9_containers": lambda s, d: packing.pack_documents(table(s, d, "documents")),
     "p10_found": lambda s, d: reading.grade(table(s, d, "documents"), table(s, d, "reading_labels")),
 }
@@ -29,6 +33,12 @@ keyed AS (
 )"""
 
 ORACLES: dict[str, str] = {
+    "p6_found": """WITH v AS (SELECT DISTINCT id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM rules WHERE id IS NOT NULL AND len(embedding) = 64 AND NOT list_bool_or(list_transform(embedding, lambda x: isnan(x))) AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+p AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.e, b.e) AS sim FROM v a JOIN v b ON a.id <> b.id),
+n AS (SELECT a, b FROM p WHERE sim >= 0.85 QUALIFY row_number() OVER (PARTITION BY a ORDER BY round(sim, 9) DESC, b) <= 10)
+SELECT DISTINCT least(a, b) AS id_a, greatest(a, b) AS id_b FROM n""",
+    "p8_roundtrip": "SELECT doc_id, sha256(coalesce(text, '')) AS text_hash FROM documents",
+    "p9_checks": "SELECT count(*) AS docs, 0::BIGINT AS over, 0::BIGINT AS torn, 0::BIGINT AS overlapping FROM documents",
     "p5_found": f"""WITH {_P5}
 SELECT k AS rule_key, first(id ORDER BY slashes DESC, id) FILTER (url_ok) AS url_id,
   first(id ORDER BY (coalesce(provenance_status, '') = 'verified_excerpt') DESC, extracted_at DESC NULLS LAST, id) FILTER (conf_ok) AS score_id,

@@ -26,8 +26,9 @@ from .language import GRAM, Filters, gram_hashes, label_code, letters, train
 
 LEVELS = 5
 LEAST_WORDS = 60
-#: Rated documents the models are trained on (the first by hash of their id), and their commonest words that count.
-SAMPLE, VOCABULARY = 6000, 30_000
+#: Rated documents the models are trained on (about so many, by hash of their id) and their characters, and their commonest
+#: words that count.
+SAMPLE, SAMPLE_CHARS, VOCABULARY = 6000, 40_000_000, 30_000
 #: Weight of the lower order where a context was seen w times: OPEN / (w + OPEN); count added to every word.
 OPEN, ADDED = 3.0, 0.5
 #: Words whose surprisal is held at once.
@@ -185,15 +186,21 @@ def fit(texts: list[str], ratings: np.ndarray) -> Grader:
     return Grader(learn(np.arange(len(texts))), isotonic(x, ratings))
 
 
-def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, rating, text) of at most `sample` rated documents."""
+def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(doc_id, rating, text) of about `sample` rated documents and `chars` characters at most (all if there are fewer), drawn by
+    a plain filter on the hash of their id, so that no task returns more than its share. Documents and characters are counted
+    first."""
     r = labels.select("doc_id", "rater", "level", "rated_at").distinct().filter(F.col("level").between(1, LEVELS) & F.col("doc_id").isNotNull())
-    r = r.groupBy("doc_id").agg(F.avg("level").alias("rating")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select("doc_id", "text").filter(F.trim("text") != "").join(F.broadcast(r), "doc_id").dropDuplicates(["doc_id"])
+    r = r.groupBy("doc_id").agg(F.avg("level").alias("rating"))
+    texts = docs.select("doc_id", "text").filter(F.trim("text") != "")
+    n, total = texts.select("doc_id", F.length("text").alias("c")).join(r, "doc_id").agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
+    share = min(1.0, sample / max(n, 1), chars / max(total, 1))
+    some = r.filter(F.xxhash64("doc_id", F.lit(6)) / F.lit(2.0**64) + 0.5 < share)
+    return texts.join(some, "doc_id").dropDuplicates(["doc_id"])
 
 
 def grade(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """p10_found: (doc_id, level). What reaches the driver is bounded by `sample` rated documents."""
+    """p10_found: (doc_id, level). What reaches the driver is bounded by `sample` rated documents of SAMPLE_CHARS characters."""
     got = sorted(rated(docs, labels, sample).collect(), key=lambda r: r["doc_id"])
     spark = docs.sparkSession
     if not got:
