@@ -171,34 +171,47 @@ def _keys(words: list[str]) -> set[str]:
     return out
 
 
-def name_keys(name: str, registered: bool, site: str | None = None) -> list[tuple[str, int, str]]:
-    """Blocking keys as (suffix, refinement, key): the suffix alone (0), with the first letter of the name (1), with those of
-    its first and last word (2), with the site (3). Of typed names any word may be the first or the last one."""
-    out: set[tuple[str, int, str]] = set()
+def name_keys(name: str, registered: bool) -> tuple[list[str], list[str], list[str]]:
+    """(suffixes, firsts, lasts): the blocking keys of a name, and the letters by which they are refined, those its first
+    and its last word begin with. Of typed names any word may be the first or the last one."""
+    suffixes: set[str] = set()
+    firsts: set[str] = set()
+    lasts: set[str] = set()
     for words in [list(c) for _, c in surfaces(name)] if registered else [[w for w, _ in t] for t in variants(name)]:
-        whole = [w for w, _ in tokens(name)] if registered else words
-        if not words or not whole:
-            continue
-        first = {whole[0][0]} if registered else {w[0] for w in whole}
-        last = {whole[-1][0]} if registered else first
-        for k in _keys(words):
-            out.add((k, 0, k))
-            out |= {(k, 1, f"{a}|{k}") for a in first} | {(k, 2, f"{a}{b}|{k}") for a in first for b in last}
-            if site:
-                out.add((k, 3, f"{site}@{k}"))
-    return sorted(out)
+        suffixes |= _keys(words)
+        if not registered:
+            firsts |= {w[0] for w in words}
+    if registered:
+        whole = [w for w, _ in tokens(name)]
+        firsts, lasts = ({whole[0][0]}, {whole[-1][0]}) if whole else (firsts, lasts)
+    else:
+        lasts = firsts
+    return sorted(suffixes), sorted(firsts), sorted(lasts)
 
 
 def _keyed(names: DataFrame, registered: bool) -> DataFrame:
-    """(name, suffix, level, key) of (name, site)."""
+    """(name, site, suffix, firsts, lasts) of (name, site)."""
 
     def run(batches):
-        for b in batches:
-            rows = [(n, *k) for n, site in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for k in name_keys(n, registered, site)]
-            cols = list(zip(*rows)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.string()))], names=["name", "suffix", "level", "key"])
+        lists = pa.list_(pa.string())
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                cols = list(zip(*(name_keys(n, registered) for n in b.column(0).to_pylist())))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, lists) for c in cols]], names=["name", "site", "suffixes", "firsts", "lasts"])
 
-    return names.select("name", "site").mapInArrow(run, "name string, suffix string, level int, key string").distinct()
+    k = names.select("name", "site").mapInArrow(run, "name string, site string, suffixes array<string>, firsts array<string>, lasts array<string>")
+    return k.select("name", "site", F.explode("suffixes").alias("suffix"), "firsts", "lasts")
+
+
+def _refined(keyed: DataFrame, keep: str) -> DataFrame:
+    """(keep, suffix, level, key): the suffix with the first letter (1), with those of first and last word (2), with the
+    site (3)."""
+    one = F.transform("firsts", lambda a: F.struct(F.lit(1).alias("level"), F.concat(a, F.lit("|"), F.col("suffix")).alias("key")))
+    two = F.flatten(F.transform("firsts", lambda a: F.transform(F.col("lasts"), lambda b: F.struct(F.lit(2).alias("level"), F.concat(a, b, F.lit("|"), F.col("suffix")).alias("key")))))
+    three = F.array(F.struct(F.lit(3).alias("level"), F.concat("site", F.lit("@"), "suffix").alias("key")))
+    k = keyed.select(keep, "suffix", F.explode(F.concat(one, two, three)).alias("k"))
+    return k.select(keep, "suffix", "k.level", "k.key").filter("key IS NOT NULL").distinct()
 
 
 def site_of(url: Column) -> Column:
@@ -222,11 +235,19 @@ def candidates(names: DataFrame, registered: DataFrame, most: int = MAX_BLOCK) -
     """(name, canonical): the pairs to compare. A suffix is used by its least refined key that stands for at most `most`
     registered names; a name none of whose suffixes has one is compared with all names of its rarest key. Keys are counted
     before any name is looked up by them."""
-    theirs = stored(_keyed(registered, True).withColumnRenamed("name", "canonical"))
-    sizes = theirs.groupBy("key").agg(F.count_distinct("canonical").alias("m"))
-    met = stored(_keyed(names, False).join(sizes, "key"))
-    rare = met.filter(F.col("m") <= most).groupBy("name", "suffix").agg(F.min_by("key", F.struct("level", "m", "key")).alias("key"), F.min("level").alias("level"))
-    keys = met.filter(F.col("m") <= most).join(rare.select("name", "suffix", "level"), ["name", "suffix", "level"]).select("name", "key")
+    reg = stored(_keyed(registered, True).withColumnRenamed("name", "canonical"))
+    plain = reg.select("canonical", "suffix", F.lit(0).alias("level"), F.col("suffix").alias("key")).distinct()
+    common = plain.groupBy("suffix").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > most).select("suffix")
+    theirs = stored(plain.unionByName(_refined(reg.join(common, "suffix"), "canonical")))
+    sizes = theirs.groupBy("suffix", "level", "key").agg(F.count_distinct("canonical").alias("m"))
+    # only suffixes that some registered name has go on, and only the common ones are refined
+    own = stored(_keyed(names, False).join(reg.select("suffix").distinct(), "suffix", "left_semi"))
+    mine = own.select("name", "suffix", F.lit(0).alias("level"), F.col("suffix").alias("key")).distinct()
+    mine = mine.unionByName(_refined(own.join(common, "suffix", "left_semi"), "name"))
+    met = stored(mine.join(sizes, ["suffix", "level", "key"]).select("name", "suffix", "level", "key", "m"))
+    rare = met.filter(F.col("m") <= most)
+    least = rare.groupBy("name", "suffix").agg(F.min("level").alias("level"))
+    keys = rare.join(least, ["name", "suffix", "level"]).select("name", "key")
     left = met.join(keys.select("name").distinct(), "name", "left_anti").groupBy("name").agg(F.min_by("key", F.struct("m", "key")).alias("key"))
     return keys.unionByName(left).distinct().join(theirs.select("key", "canonical"), "key").select("name", "canonical").distinct()
 
