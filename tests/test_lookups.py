@@ -66,3 +66,25 @@ def test_embedding_queue_and_cutoff(spark):
     assert [r["id"] for r in lk.embedding_queue(df, active_only=False, limit=2).collect()] == ["d", "e"]
     c = spark.createDataFrame([("u", "h", 3), ("u", "h", 1), ("u", None, 0), (None, "h", 0)], "url string, new_hash string, detected_at int")
     assert [tuple(r) for r in lk.evidence_cutoff(c).collect()] == [("u", "h", 1)]
+
+
+def test_large_organisations_are_hashed(spark, monkeypatch):
+    """6,000 rows in one organisation and buckets of 128: neighbours at 0.8 to 0.99 are found as promised, and none is wrong."""
+    monkeypatch.setattr(lk, "BUCKET", 128)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(3000, 32))
+    cos = rng.uniform(0.81, 0.99, 3000)[:, None]
+    noise = rng.normal(size=base.shape)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    noise = unit(noise - unit(base) * (noise * unit(base)).sum(1, keepdims=True))
+    near = unit(base) * cos + noise * np.sqrt(1 - cos**2)
+    rows = [(f"a{i:05d}", "big", "https://x.example", base[i].tolist()) for i in range(3000)] + [(f"b{i:05d}", "big", "https://x.example/a/b", (5 * near[i]).tolist()) for i in range(3000)]
+    rows += [("c1", "small", "https://x.example", [1.0] * 32), ("c2", "small", "https://x.example/a", [1.0] * 31 + [0.9]), ("c3", "small", "https://x.example/a", [float("inf")] * 32)]
+    df = spark.createDataFrame(rows, "id string, source_org string, source_url string, embedding array<float>")
+    got = {r["id"]: (r["nn_id"], r["sim"]) for r in lk.nearest_citation(df, candidate=F.lit(True), dim=32).collect()}
+    assert got["c1"][0] == "c2" and "c3" not in got
+    full = unit(np.float32(base).astype(float)) @ unit(np.float32(5 * near).astype(float)).T
+    best = full.argmax(1)
+    found = sum(got.get(f"a{i:05d}", ("",))[0] == f"b{best[i]:05d}" for i in range(3000))
+    assert found >= 0.98 * 3000, found
+    assert all(abs(full[int(k[1:]), int(v[0][1:])] - v[1]) < 1e-6 and v[1] >= 0.8 for k, v in got.items() if k[0] == "a")

@@ -74,3 +74,39 @@ def test_cli(capsys):
     assert cli.main(["list"]) == 0 and "brain_health" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         cli.main(["nothing"])
+
+
+def test_cli_reports_and_maintenance(spark, data, tmp_path, capsys, monkeypatch):
+    from tidemark import cli
+
+    monkeypatch.setattr(cli, "build_session", lambda: spark)
+    for name in ("status", "changes", "health", "scorecard", "brain-health"):
+        assert cli.main([name, data]) == 0
+    out = capsys.readouterr().out
+    assert "sources:" in out and "corpus:" in out and "overdue:" in out
+    (tmp_path / "topics.json").write_text('{"topic":"t","domain_tag":"seo","patterns":["%sitemap%"],"min_hits":1,"min_conf":0.7}')
+    assert cli.main(["critic", data, str(tmp_path / "topics.json")]) == 0
+    first = spark.read.parquet(f"{data}/source_registry.parquet").selectExpr("min(source_id)").first()[0]
+    new = lambda n: spark.read.parquet(f"{tmp_path}/{n}/source_registry.parquet")
+    assert cli.main(["set-source", data, first, "tier=3", "--out", f"{tmp_path}/a"]) == 0 and new("a").filter(f"source_id = '{first}'").first()["tier"] == 3
+    assert cli.main(["disable", data, first, "--out", f"{tmp_path}/b"]) == 0 and new("b").filter(f"source_id = '{first}'").first()["enabled"] is False
+    assert cli.main(["add-source", data, "zz", "canonical_org=Z", "root_url=https://z.example", "--out", f"{tmp_path}/c"]) == 0 and new("c").count() == 241
+    for wrong in (["set-source", data, "nobody", "tier=1"], ["add-source", data, "zy"], ["undeprecate", data, "nothing"], ["enable", data], ["set-source", data, first, "enabled=1"]):
+        assert cli.main([*wrong, "--out", f"{tmp_path}/x"]) == 1
+    dep = spark.read.parquet(f"{data}/rules.parquet").filter("status = 'deprecated'").first()["id"]
+    assert cli.main(["undeprecate", data, dep, "--out", f"{tmp_path}/d"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/d/rules.parquet").filter(f"id = '{dep}'").first()["status"] == "active"
+    assert cli.main(["brain_health", data, "--out", f"{tmp_path}/e"]) == 0 and spark.read.parquet(f"{tmp_path}/e").count() > 0
+    with pytest.raises(SystemExit):
+        cli.main(["enable", data, first])
+
+
+def test_tables_of_a_scope_are_removed(spark):
+    from tidemark import session
+
+    before = len(session._STORED)
+    with session.scope(spark):
+        df = session.stored(spark.range(3).toDF("x"))
+        path = session._STORED[-1].removeprefix("file:").replace("///", "/")
+        assert df.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(path) and len(session._STORED) == before

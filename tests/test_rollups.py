@@ -75,3 +75,15 @@ def test_drift(spark):
     assert [(r[0], r[1]) for r in ru.drift_alerts(h).orderBy("taken_at").collect()] == [(NOW - timedelta(2), "url share fell"), (NOW - timedelta(1), "degraded run")]
     a = spark.createDataFrame([("done", 2), ("done", 3), ("partial", 0), (None, None)], "s string, n int")
     assert [r[0] for r in a.select(ru.alert_needed(F.col("s"), F.col("n"))).collect()] == [False, True, True, True]
+
+
+def test_canon_probe_patterns_and_many_topics(spark, monkeypatch):
+    pats = [["%Sitemap%"], ["add a%"], ["%y"], ["%d_s%", None], ["%100\\%%"], ["%"], None, [], [None], ["%robots%txt%", "%ROBOTS.TXT"]]
+    topics = spark.createDataFrame([(f"t{i}", "seo", p, 1, 0.7) for i, p in enumerate(pats)], "topic string, domain_tag string, patterns array<string>, min_hits int, min_conf double")
+    r = rules(spark).unionByName(rules(spark).limit(1).withColumns({"id": F.lit("9"), "name": F.lit("100% SITEMAP")}))
+    one = {x["topic"]: tuple(x) for x in ru.canon_probe(topics, r, now()).collect()}
+    assert {k: v[1] for k, v in one.items()} == {"t0": 2, "t1": 1, "t2": 2, "t3": 0, "t4": 1, "t5": 4, "t6": 0, "t7": 0, "t8": 0, "t9": 1}
+    monkeypatch.setattr(ru, "TOPICS", 3)
+    assert {x["topic"]: tuple(x) for x in ru.canon_probe(topics, r, now()).collect()} == one
+    assert ru.canon_probe(topics.limit(0), r, now()).count() == 0
+    assert [x["topic"] for x in ru.ranked_probe(ru.canon_probe(topics, r, now())).orderBy("turn").collect()][:2] == ["t3", "t6"]

@@ -54,3 +54,15 @@ def test_open_windows_complete_a_bounded_replay(spark, tmp_path):
     assert {r["window_start"] for r in rest.collect()} == {T0 + timedelta(days=4)}
     whole = sorted(map(str, replay.windowed_counts(events).collect()))
     assert sorted(map(str, emitted.unionByName(rest).collect())) == whole and len(whole) == 15
+
+
+def test_failure_state_does_not_depend_on_chunks(spark, tmp_path):
+    """One source with far more rows than a chunk holds, out of order: the last success decides."""
+    n = 25_000
+    df = spark.range(n).selectExpr("cast(id AS int) AS change_id", "'s' AS source_id", "if(id % 5000 = 4321, 'extracted', 'failed') AS extract_status")
+    df.orderBy(F.xxhash64("change_id")).coalesce(1).write.parquet(f"{tmp_path}/c.parquet/b1")
+    schema = spark.read.parquet(f"{tmp_path}/c.parquet/b1").schema
+    s = replay.failure_counts(replay.stream_table(spark, str(tmp_path), "c", schema))
+    replay.replay_to_folder(s, f"{tmp_path}/out", f"{tmp_path}/offsets", mode="update")
+    last = max(i for i in range(n) if i % 5000 == 4321)
+    assert [r["failures"] for r in spark.read.option("recursiveFileLookup", True).parquet(f"{tmp_path}/out").collect()] == [n - 1 - last]

@@ -75,15 +75,36 @@ def snapshot_metrics(rules: DataFrame, siblings: dict[str, DataFrame], registry:
     return out.join(F.broadcast(runs.agg(F.max_by("status", "run_id").alias("last_run_status"))))
 
 
+#: Topics up to which their patterns become one expression; a longer list is joined pattern by pattern.
+TOPICS = 500
+
+
+def _ilike(lowered: Column, text: Column, pattern: str) -> Column:
+    """text ILIKE pattern; a pattern that only asks for some words is looked for in the lowered text."""
+    inner = pattern[1:-1]
+    if len(pattern) >= 2 and pattern[0] == pattern[-1] == "%" and not set(inner) & set("%_\\"):
+        return F.contains(lowered, F.lower(F.lit(inner)))
+    return text.ilike(pattern)
+
+
 def canon_probe(topics: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
     """J-1, A-5: for every topic the rules whose text matches one of its patterns (ILIKE), with counts. Topics are a
-    bounded configuration table and are broadcast; each rule is read once and counted before anything is shuffled.
-    Topics without a match stay with zeros."""
+    configuration: they are counted first, and up to TOPICS of them become one expression, so that every rule is read and
+    lowered once, tested against all patterns in one pass and counted before anything is shuffled; more of them are joined.
+    Both ways give the same rows. Topics without a match stay with zeros; null patterns match nothing."""
     text = F.concat("name", F.lit(" "), F.coalesce("if_condition", F.lit("")), F.lit(" "), F.coalesce("then_logic", F.lit("")))
     r = rules.filter(~F.col("status").eqNullSafe("deprecated")).select(
         text.alias("txt"), "confidence_score", F.coalesce("last_verified", "extracted_at").alias("seen"), F.col("rule_type").eqNullSafe("observed").alias("observed")
-    )
-    hit = r.join(F.broadcast(topics), F.expr("exists(patterns, p -> txt ilike p)"))
+    ).filter("txt IS NOT NULL")
+    first = topics.select("topic", "patterns").limit(TOPICS + 1).collect()
+    if len(first) <= TOPICS:
+        low = F.lower("txt")
+        any_of = lambda ps: F.array(*[_ilike(low, F.col("txt"), p) for p in ps if p is not None])
+        names = [F.when(F.exists(any_of(t["patterns"]), lambda x: x), F.lit(t["topic"])) for t in first if any(p is not None for p in t["patterns"] or [])]
+        found = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+        hit = r.withColumn("topic", F.explode(found)).join(F.broadcast(topics.select("topic", "min_conf")), "topic")  # TOPICS rows at most
+    else:
+        hit = r.join(topics.select("topic", "patterns", "min_conf"), F.expr("exists(patterns, p -> txt ilike p)"))
     c = lambda x: F.sum(x.cast("int")).cast("long")
     num = F.when(F.col("confidence_score").rlike(r"\A[0-9]+(\.[0-9]+)?\z"), F.col("confidence_score").try_cast("double"))
     got = hit.groupBy("topic").agg(

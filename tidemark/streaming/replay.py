@@ -41,18 +41,25 @@ def first_versions(changes: DataFrame, late: str = "7 days") -> DataFrame:
 
 
 def failure_counts(changes: DataFrame) -> DataFrame:
-    """The failure streak per source, kept as state: (source_id, failures) whenever a batch brings rows of the source."""
+    """The failure streak per source, kept as state: (source_id, failures) whenever a batch brings rows of the source. A batch's
+    rows may come in any order and in any number of chunks: only the failures after the last success among all of them
+    count, repeated change_ids once. Batches must follow one another in order of change_id."""
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = state.get[0] if state.exists else 0
+        n, last_ok = state.get if state.exists else (0, -1)
+        bad: set[int] = set()
+        before = last_ok
         for pdf in batches:
-            for s in pdf.sort_values("change_id")["extract_status"]:
-                n = n + 1 if s in ("failed", "gave_up") else 0
-        state.update((n,))
+            failed = pdf["extract_status"].isin(("failed", "gave_up"))
+            ok = pdf.loc[~failed, "change_id"]
+            last_ok = max(last_ok, int(ok.max())) if len(ok) else last_ok
+            bad.update(int(x) for x in pdf.loc[failed, "change_id"] if x > last_ok)
+        n = (n if last_ok == before else 0) + sum(x > last_ok for x in bad)
+        state.update((n, last_ok))
         yield pd.DataFrame({"source_id": [key[0]], "failures": [n]})
 
-    return changes.groupBy("source_id").applyInPandasWithState(step, "source_id string, failures long", "failures long", "update", GroupStateTimeout.NoTimeout)
+    return changes.groupBy("source_id").applyInPandasWithState(step, "source_id string, failures long", "failures long, last_ok long", "update", GroupStateTimeout.NoTimeout)
 
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
