@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import re
 import subprocess
 import sys
 from datetime import datetime
@@ -65,7 +66,7 @@ def test_entry_imports_without_a_session_and_without_the_llm_part(tmp_path):
 def test_nothing_outside_the_subpackage_imports_it():
     for p in (ROOT / "tidemark").rglob("*.py"):
         if "llm" not in p.relative_to(ROOT).parts:
-            assert "llm" not in p.read_text(), p
+            assert not re.search(r"\bllm\b", p.read_text()), p  # llms.txt is a file of web sites
 
 
 def test_cli(capsys):
