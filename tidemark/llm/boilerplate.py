@@ -48,7 +48,7 @@ PART, NAME, REST = 40, 40, 16
 #: Places of a label in a page above which its repetitions are matched in turn and not in every way.
 MANY = 32
 
-_TOKEN = re.compile(r"\w+")
+_NUMBER = re.compile(r"(?<!\w)[^\W\d]*\d\w*")
 _JOINED = re.compile(r"#(?:[./:\-]#)+")
 _SPACES = re.compile(r"\s+")
 _SEPARATED = re.compile(r" *(?:[|·•›»>/]|  ) +")
@@ -62,21 +62,26 @@ def _label(line: str) -> str:
     s = unicodedata.normalize("NFKD", line.strip().lower())
     if not s.isascii():
         s = "".join(c for c in s if not unicodedata.combining(c))
-    if any(map(str.isdigit, s)):
-        s = _JOINED.sub("#", _TOKEN.sub(lambda m: "#" if any(map(str.isdigit, m[0])) else m[0], s))
-    return s
+    s = _NUMBER.sub("#", s)
+    return _JOINED.sub("#", s) if "#" in s else s
 
 
 def site_core(site: str) -> str:
-    """The letters and digits of a host without its last label."""
-    return re.sub(r"[^a-z0-9]", "", site.lower().rpartition(".")[0])
+    """The letters and digits of a host without its last label; '' for what is too long for a host."""
+    return re.sub(r"[^a-z0-9]", "", site.lower().rpartition(".")[0]) if len(site) <= 253 else ""
 
 
-def node(line: str, core: str = "") -> tuple[str, str, bool]:
+def _parts_of(core: str) -> frozenset[str]:
+    """What a word must be to stand for a part of the site's name."""
+    return frozenset(core[i:j] for i in range(len(core)) for j in range(i + 4, len(core) + 1))
+
+
+def node(line: str, core: str = "", parts: frozenset[str] | None = None) -> tuple[str, str, bool]:
     """(label, frame or '', counted): the frame is what stays the same in a line whose parts or names vary. Words of
-    the site's own name (core) become one mark, so that equal parts of different sites have equal labels."""
+    the site's own name (core) become one mark, so that equal parts of different sites have equal labels; parts: what
+    words those are, if it is at hand."""
     s = _label(line)
-    if core:
+    if core and not (_parts_of(core) if parts is None else parts).isdisjoint(_WORD.findall(s)):
         s = _NAMES.sub("@", _WORD.sub(lambda m: "@" if m[0] in core else m[0], s))
     counted = s.endswith("(#)")
     if counted:
@@ -84,9 +89,9 @@ def node(line: str, core: str = "") -> tuple[str, str, bool]:
     frame = ""
     marks = _SEPARATED.findall(s)
     at = s.find("#")
-    parts = len(marks) + 1
+    n = len(marks) + 1
     # parts and slots are short on the average; a sentence with a bar or two numbers in it is neither
-    if marks and len(s) <= PART * parts and len(set(m.strip() for m in marks)) == 1 and (parts >= 3 or marks[0].strip() in _STRONG):
+    if marks and len(s) <= PART * n and len(set(m.strip() for m in marks)) == 1 and (n >= 3 or marks[0].strip() in _STRONG):
         frame = "parts " + marks[0].strip()
     elif 0 < at <= NAME and s.count("#") >= 2 and sum(c.isalpha() for c in s[at:]) <= REST:
         frame = "slots " + s[at:]
@@ -102,14 +107,20 @@ def _trees(batches):
     def code(s: str) -> int:
         return xxhash.xxh3_64_intdigest(s) - (1 << 63) if s else 0
 
+    known: dict[str, frozenset[str]] = {}
     for b in batches:
         rows = []
         for row, page, article, site, title, text in zip(*(c.to_pylist() for c in b.columns)):
             core = site_core(site)
-            lines = [(i, *node(x, core)) for i, x in enumerate(text.split("\n")) if x.strip()]
+            parts = known.get(core)
+            if parts is None:
+                if len(known) > 10_000:
+                    known.clear()
+                parts = known[core] = _parts_of(core)
+            lines = [(i, *node(x, core, parts)) for i, x in enumerate(text.split("\n")) if x.strip()]
             if lines:
                 last = code(f"{site}\n{lines[-1][2] or lines[-1][1]}")
-                t = code(node(title, core)[0]) if title and title.strip() else 0
+                t = code(node(title, core, parts)[0]) if title and title.strip() else 0
                 rows.append((row, page, article, code(site), last, t, [x[0] for x in lines], [code(x[1]) for x in lines], [code(x[2]) for x in lines], [x[3] for x in lines]))
         types = [pa.int64()] * 6 + [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_())]
         names = ["row", "page_id", "article", "site", "template", "title", "line_no", "label", "frame", "counted"]
