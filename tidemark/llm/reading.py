@@ -196,7 +196,7 @@ def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int =
     n, total = texts.select("doc_id", F.length("text").alias("c")).join(r, "doc_id").agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
     share = min(1.0, sample / max(n, 1), chars / max(total, 1))
     some = r.filter(F.xxhash64("doc_id", F.lit(6)) / F.lit(2.0**64) + 0.5 < share)
-    return texts.join(some, "doc_id").dropDuplicates(["doc_id"])
+    return texts.join(F.broadcast(some), "doc_id").dropDuplicates(["doc_id"])  # about `sample` ids
 
 
 def grade(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
