@@ -115,3 +115,32 @@ def test_any_table_column_by_column(spark):
     d = {(r["load"], r["field"]): r["psi"] for r in qp.drift_table(df, F.col("load")).collect()}
     assert d["a", "d"] == 0 and d["a", "n"] > 0
     assert qp.profile_table(df.limit(0), F.col("load")).count() == 0 and qp.profile_table(df).count() == len(df.columns)
+
+
+def test_whole_tables_are_read_whole(spark, tmp_path):
+    """Every column and every row: embedding of rules, and rules without a run."""
+    import duckdb
+
+    from tidemark.plans import problems
+
+    odd = [0.1, 1e-7, 1e-45, 3e38, 1.5e10, -0.0, 0.0, 1.0, -2.0, float("nan"), float("inf"), float("-inf"), None]
+    vectors = [odd, odd, odd[::-1], [0.5] * 64, [0.5] * 63 + [0.25], [], [None], None, [1.0 / k for k in range(1, 65)]]
+    long = ["run_id bigint" if c == "run_id" else f"{c} timestamp" if c in ("created_at", "extracted_at", "last_verified") else f"{c} string" for c in problems._RULES]
+    data = [tuple(BASE if " timestamp" in c else (None if i % 4 == 3 else i % 4) if c == "run_id bigint" else f"{c[0]}{i % 5}" for c in long) + (vectors[i % 9],) for i in range(90)]
+    df = spark.createDataFrame(data, ", ".join([*long, "embedding array<float>"]))
+    df.write.parquet(f"{tmp_path}/rules.parquet")
+    got = problems.QUERIES["p1_rules_whole"](spark, str(tmp_path)).collect()
+    assert {r["field"] for r in got} == set(df.columns) and {r["load"] for r in got} == {"0", "1", "2", "none"}
+    per = Counter()
+    for r in got:
+        per[r["field"]] += r["n_rows"]
+    assert per == {c: 90 for c in df.columns}
+    for r in got:
+        if r["field"] == "embedding":
+            n = Counter(str(d[-1]) for d in data if d[-1] is not None and str("none" if d[-2] is None else d[-2]) == r["load"])
+            assert (r["n_missing"], r["n_distinct"], r["top_count"]) == (r["n_rows"] - sum(n.values()), len(n), max(n.values()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW rules AS SELECT * FROM '{tmp_path}/rules.parquet/*.parquet'")
+    res = con.execute(problems.ORACLES["p1_rules_whole"])
+    at = [x[0] for x in res.description]
+    assert sorted((tuple(r[c] for c in at) for r in got), key=str) == sorted(res.fetchall(), key=str)

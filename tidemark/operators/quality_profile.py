@@ -165,6 +165,11 @@ def profile_counts(counts: DataFrame) -> DataFrame:
     """One row per load and field from stored value counts: rows, missing, distinct and invalid counts, range, top value,
     range and median of the valid numbers. Ties of the top value go to the smallest."""
     c = counts.filter("load IS NOT NULL").groupBy("load", "field", "value").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("valid"), F.col("n")).otherwise(0)).alias("n_valid"), F.max("x").alias("x"))
+    return _figures(c, c.filter("x IS NOT NULL AND n_valid > 0"))
+
+
+def _figures(c: DataFrame, numbers: DataFrame) -> DataFrame:
+    """`profile_counts` from one count a value, (load, field, value, n, n_valid, x), and from those of them that are valid numbers."""
     here = F.col("value").isNotNull()
     base = c.groupBy("load", "field").agg(
         F.sum("n").alias("n_rows"),
@@ -178,7 +183,7 @@ def profile_counts(counts: DataFrame) -> DataFrame:
         F.min("x").alias("min_number"),
         F.max("x").alias("max_number"),
     )
-    med = weighted_median(c.filter("x IS NOT NULL AND n_valid > 0"), ["load", "field"], "x", "n_valid")
+    med = weighted_median(numbers, ["load", "field"], "x", "n_valid")
     return (
         base.join(med, ["load", "field"], "left")
         .withColumn("missing_share", F.col("n_missing") / F.col("n_rows"))
@@ -188,9 +193,17 @@ def profile_counts(counts: DataFrame) -> DataFrame:
 
 
 def profile_table(df: DataFrame, load: Column | None = None, fields: list[Field] | None = None) -> DataFrame:
-    """The profile of every column (or of the given fields) of any table, per load; without a load the table is one."""
-    one = load if load is not None else F.lit("all")
-    return profile_counts(stored(value_counts(df, fields or columns(df), one)))
+    """The profile of every column (or of the given fields) of any table, per load; without a load the table is one.
+
+    Where nothing stands beside a value it has one count already, which is neither stored nor shuffled again; only the
+    counts of the fields with a number are, for their medians. df is read twice."""
+    one, fields = load if load is not None else F.lit("all"), fields or columns(df)
+    if any(f.beside is not None for f in fields):
+        return profile_counts(stored(value_counts(df, fields, one)))
+    once = lambda fs: value_counts(df, fs, one).filter("load IS NOT NULL").select("load", "field", "value", "n", F.when(F.col("valid"), F.col("n")).otherwise(0).alias("n_valid"), "x")
+    numeric = [f for f in fields if f.number]
+    c = once(fields)
+    return _figures(c, stored(once(numeric).filter("x IS NOT NULL")) if numeric else c.filter("false"))
 
 
 def profile(rules: DataFrame, as_of: str = AS_OF) -> DataFrame:

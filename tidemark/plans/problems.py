@@ -17,6 +17,16 @@ def _whole(df: DataFrame, load: Column, patterns: dict | None, ranges: dict | No
     return p.select(F.col("load").cast("string").alias("load"), "field", "n_rows", "n_missing", "n_distinct", "n_invalid", "top_count", "top_value", "min_value", "max_value", "min_number", "max_number", "median_valid")
 
 
+def _exact(vector: Column) -> Column:
+    """A vector as text that gives every number exactly, in hexadecimal; the decimal digits of JSON differ between versions of Java."""
+    return F.concat(F.lit("["), F.array_join(F.transform(vector, lambda x: F.coalesce(F.format_string("%a", x), F.lit("null"))), ","), F.lit("]"))
+
+
+def _rules_whole(rules: DataFrame) -> DataFrame:
+    """The profile of every column and every row of rules; rows without a run are the load `none`."""
+    return _whole(rules.withColumn("embedding", _exact(F.col("embedding"))), F.coalesce(F.col("run_id").cast("string"), F.lit("none")), None, None)
+
+
 QUERIES = {
     "p1_found": lambda s, d: quality_profile.found(table(s, d, "rules")),
     "p1_profile": lambda s, d: quality_profile.profile(table(s, d, "rules")).select(
@@ -24,6 +34,8 @@ QUERIES = {
     ),
     "p1_documents": lambda s, d: _whole(table(s, d, "documents"), F.coalesce("lang", F.lit("none")), DOCUMENT_PATTERNS, {"n_chars": (0, 1e6)}),
     "p1_rules": lambda s, d: _whole(table(s, d, "rules").drop("embedding"), F.col("run_id"), None, None),
+    # p1_rules gives what its SQL asks for: all columns but embedding, of the rows that have a run
+    "p1_rules_whole": lambda s, d: _rules_whole(table(s, d, "rules")),
     "p1_documents_drift": lambda s, d: quality_profile.drift_table(table(s, d, "documents"), F.coalesce("lang", F.lit("none"))),
     "p1_drift": lambda s, d: quality_profile.drift(table(s, d, "rules")),
     "p7_found": lambda s, d: snapshot_diff.found(table(s, d, "url_state")),
@@ -78,10 +90,14 @@ SELECT p.* REPLACE (load::VARCHAR AS load), min_number, max_number, median_valid
 _DOCUMENTS = {"doc_id": "number", "text": "text", "lang": "text", "source": "text", "n_chars": "number", "title": "text", "source_url": "text", "domain_tag": "text", "created_at": "time"}
 _RULES = {c: "text" for c in ("id", "name", "rule_type", "if_condition", "then_logic", "domain_tag", "confidence_score", "source_refs_json", "status", "source_org", "source_url", "document_id", "rule_key", "superseded_by", "url_provenance", "source_excerpt", "source_content_hash", "provenance_status")}
 _RULES |= {"created_at": "time", "extracted_at": "time", "last_verified": "time", "run_id": "number"}
+# `rules` with embedding as `_exact` writes it
+_RULES_EXACT = r"""(SELECT * REPLACE ('[' || array_to_string(list_transform(embedding, lambda x: CASE WHEN x IS NULL THEN 'null' WHEN isnan(x) THEN 'NaN' WHEN isinf(x) THEN CASE WHEN x > 0 THEN 'Infinity' ELSE '-Infinity' END
+  ELSE regexp_replace(replace(printf('%a', x::DOUBLE), 'p+', 'p'), '^(-?0x[01])p', '\1.0p') END), ',') || ']' AS embedding) FROM rules)"""
 
 ORACLES = {
     "p1_documents": "WITH " + _columns("documents", "coalesce(lang, 'none')", _DOCUMENTS, DOCUMENT_PATTERNS, {"n_chars": (0, 1e6)}) + _PROFILED,
     "p1_rules": "WITH " + _columns("rules", "run_id", _RULES, {}, {}) + _PROFILED,
+    "p1_rules_whole": "WITH " + _columns(_RULES_EXACT, "coalesce(run_id::VARCHAR, 'none')", _RULES | {"embedding": "text"}, {}, {}) + _PROFILED,
     "p1_documents_drift": "WITH " + _columns("documents", "coalesce(lang, 'none')", _DOCUMENTS, {}, {}) + """,
 span AS (SELECT field, min(x) AS lo, max(x) AS hi FROM v GROUP BY 1),
 k AS (SELECT load, field, CASE WHEN value IS NULL THEN 'missing' WHEN x IS NOT NULL THEN least(19, CASE WHEN hi > lo THEN floor((x - lo) * 20 / (hi - lo))::BIGINT ELSE 0 END)::VARCHAR ELSE left(value, 2) END AS kind FROM v JOIN span USING (field)),
