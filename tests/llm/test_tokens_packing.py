@@ -122,3 +122,30 @@ def test_checks_see_faults(spark):
     assert tuple(packing.checks(spark.createDataFrame(good, ddl)).first()) == (3, 0, 0, 0)
     bad = [(1, 1, 0, 2000, 0), (1, 2, 0, 100, 2000), (2, 3, 0, 5, 0), (2, 4, 0, 5, 3), (3, 5, 0, 5, 0), (4, 5, 5, 5, 0), (5, 6, 9, 5, 0)]
     assert tuple(packing.checks(spark.createDataFrame(bad, ddl)).first()) == (6, 1, 2, 1)
+
+
+@pytest.mark.parametrize("ids", ["if(i % 3 = 0, NULL, i)", "i % 4", "CAST(NULL AS bigint)", "i"])
+def test_checks_count_every_document(spark, tmp_path, ids):
+    import duckdb
+
+    from tidemark.llm.queries import ORACLES, QUERIES
+
+    texts = [*TEXTS, "far more than one container " * 900, "far more than one container " * 900]
+    spark.createDataFrame(list(enumerate(texts)), "i bigint, text string").selectExpr(f"{ids} AS doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert [tuple(r) for r in QUERIES["p9_checks"](spark, str(tmp_path)).collect()] == con.execute(ORACLES["p9_checks"]).fetchall() == [(len(texts), 0, 0, 0)]
+
+
+def test_checks_hold_the_packing_against_sizes(spark):
+    ddl = "container long, doc_id long, offset long, length int, container_offset int, place long"
+    sizes = spark.createDataFrame([(10, 2058), (11, 5), (12, 5), (13, 0)], "place long, n_ids long")
+    good = [(1, 1, 0, 2048, 0, 10), (2, 1, 2048, 10, 0, 10), (2, 1, 0, 5, 10, 11), (2, None, 0, 5, 15, 12), (2, None, 0, 0, 0, 13)]
+    of = lambda rows: tuple(packing.checks(spark.createDataFrame(rows, ddl), sizes=sizes).first())
+    assert of(good) == (4, 0, 0, 0)
+    assert of([r for r in good if r[2] == 0]) == (4, 0, 1, 1)  # the rest of a long document is lost
+    assert of([r for r in good if r[5] != 13]) == (3, 0, 1, 0)  # a document is lost
+    assert of([*good, (3, 9, 0, 5, 0, 14)]) == (5, 0, 1, 0)  # one that is not in the input
+    # an overlap that a gap makes up for, in a container and in a document
+    assert tuple(packing.checks(spark.createDataFrame([(1, 1, 0, 10, 0), (1, 2, 0, 10, 5), (1, 3, 0, 5, 20)], ddl.rpartition(",")[0])).first()) == (3, 0, 0, 1)
+    assert tuple(packing.checks(spark.createDataFrame([(1, 1, 0, 10, 0), (2, 1, 5, 10, 0), (3, 1, 20, 5, 0)], ddl.rpartition(",")[0]), capacity=10).first()) == (1, 0, 1, 0)

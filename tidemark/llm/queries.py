@@ -16,7 +16,7 @@ QUERIES = {
     "p6_found": lambda s, d: neighbors.found(table(s, d, "rules")),
     "p8_ids": lambda s, d: tokens.encode(table(s, d, "documents")),
     "p8_roundtrip": lambda s, d: tokens.decode(tokens.encode(table(s, d, "documents"))).select("doc_id", F.sha2("text", 256).alias("text_hash")),
-    "p9_checks": lambda s, d: packing.checks(packing.pack_documents(table(s, d, "documents"))),
+    "p9_checks": lambda s, d: packing.check_documents(table(s, d, "documents")),
     "p9_containers": lambda s, d: packing.pack_documents(table(s, d, "documents")),
     "p10_found": lambda s, d: reading.grade(table(s, d, "documents"), table(s, d, "reading_labels")),
 }
